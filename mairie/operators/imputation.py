@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mairie.operators.medians import TASK_ROWS, medians
-from mairie.session import broadcast_checked
 
 
 def spread_group_median(
@@ -17,7 +16,7 @@ def spread_group_median(
     """Group medians beside every row; rows of a null group get null."""
     m = medians(df.where(F.col(group).isNotNull()), columns, [group], task_rows)
     m = m.select(group, *[F.col(c).alias(c + suffix) for c in columns])
-    return df.join(broadcast_checked(m), group, "left")
+    return df.join(m, group, "left")
 
 
 def impute_medians(

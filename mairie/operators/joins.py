@@ -1,4 +1,10 @@
-"""Joins.  Small sides are broadcast only after their size was measured."""
+"""Joins.
+
+Where the left side is a fact table, the small side is measured before it is
+broadcast, so the facts are neither shuffled needlessly nor joined to a side that
+does not fit.  Between aggregated tables no hint is given: adaptive execution
+broadcasts by the size it has seen and splits hot keys otherwise.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +17,12 @@ from mairie.functions.mappings import CANDIDATES, contains_rule
 from mairie.session import broadcast_checked
 
 
-def left_enrich(df: DataFrame, dimension: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Left equi-join that keeps every row of ``df``."""
+def left_enrich(
+    df: DataFrame, dimension: DataFrame, keys: str | Sequence[str], facts: bool = False
+) -> DataFrame:
+    """Left equi-join that keeps every row of ``df``; ``facts`` marks a large left side."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.join(broadcast_checked(dimension), keys, "left")
+    return df.join(broadcast_checked(dimension) if facts else dimension, keys, "left")
 
 
 def with_group_total(grouped: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

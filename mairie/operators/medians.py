@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mairie.session import broadcast_checked
+from mairie.session import broadcast_checked, cut_lineage
 
 # Largest group that the built-in median may hold in one task.
 TASK_ROWS = 2_000_000
@@ -45,14 +45,17 @@ def medians_by_narrowing(df: DataFrame, columns: Sequence[str], keys: Sequence[s
         keys, list(columns), "_column", "_v"
     )
     counted = long.where("_v is not null").groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Each round reads the counted values again, and measures its bounds.
+    counted = cut_lineage(counted, "counted")
     bounds = counted.groupBy(*group).agg(
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
         F.sum("_n").alias("_total"),
         F.lit(0).cast("bigint").alias("_below"),
     )
+    bounds = cut_lineage(bounds, "bounds")
     for _ in range(_ROUNDS):
-        bounds = _narrow(counted, bounds, group)
+        bounds = cut_lineage(_narrow(counted, bounds, group), "bounds")
     inside = _inside(counted, bounds, group)
     w = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_last", F.col("_below") + F.sum("_n").over(w))

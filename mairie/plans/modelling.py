@@ -83,7 +83,7 @@ def class_weights(df: DataFrame, label: str = "bloc_dominant", name: str = "poid
     weights = counts.select(
         label, (overall["col1"] / (overall["col2"] * F.col("_n"))).alias(name)
     )
-    return joins.left_enrich(df, weights, label)
+    return joins.left_enrich(df, weights, label, facts=True)
 
 
 def territory_one_hot(df: DataFrame, column: str = "typologie_territoire", output: str = "typo_vec") -> DataFrame:

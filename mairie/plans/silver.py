@@ -208,13 +208,19 @@ def _statistics(df, ref, mapping, table, year) -> DataFrame:
 
 
 def population_typology(
-    raw: DataFrame, thresholds: tuple[float, float] | None = None, mode: str = "population"
+    raw: DataFrame,
+    thresholds: tuple[float, float] | None = None,
+    mode: str = "population",
+    metropolitan: bool = True,
 ) -> DataFrame:
-    """Population (sum of every age band present) and typology of metropolitan municipalities."""
+    """Population (sum of every age band present) and typology, of metropolitan
+    municipalities unless told otherwise."""
     bands = h.columns_with_prefix(raw, POPULATION_PREFIX)
     df = raw.select(
         codes.commune_code("CODGEO").alias("code_commune"), *[to_number(h.quoted(c)).alias(c) for c in bands]
-    ).where(s.is_metropolitan("code_commune"))
+    )
+    if metropolitan:
+        df = df.where(s.is_metropolitan("code_commune"))
     return df.select("code_commune", sum_ignoring_nulls(*bands).alias("population_totale")).withColumn(
         "typologie_territoire", territory_type("population_totale", mode, thresholds)
     )

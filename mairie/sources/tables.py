@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mairie.operators.harmonise import enforce_schema
-from mairie.session import broadcast_checked
 from mairie.sources.schemas import PARTITIONS, table_schema
 
 
@@ -57,7 +56,7 @@ def update_by_key(df: DataFrame, updates: DataFrame, keys: Sequence[str], column
     must not be overwritten while it is read.
     """
     new = updates.select(*keys, F.col(column).alias("_new"), F.lit(True).alias("_hit"))
-    joined = df.join(broadcast_checked(new), list(keys), "left")
+    joined = df.join(new, list(keys), "left")
     kind = df.schema[column].dataType
     value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column)).cast(kind)
     return joined.withColumn(column, value).select(*df.columns)
