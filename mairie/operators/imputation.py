@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mairie.operators.medians import TASK_ROWS, medians
+from mairie.session import cut_lineage
 
 
 def spread_group_median(
@@ -25,13 +26,14 @@ def impute_medians(
     """Nulls become the group median, then the overall median of the filled column.
 
     All group medians come from one aggregate, all overall medians from a second
-    one.  ``df`` is read three times, so pass a written table, not a long plan.
+    one.  The group-filled rows are written once between the two.
     """
     order = df.columns
     spread = spread_group_median(df, columns, group, "_median", task_rows)
     filled = spread.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(c + "_median")) for c in columns}
     ).select(*order)
+    filled = cut_lineage(filled, "filled")
     overall = medians(filled, columns, (), task_rows)
     national = overall.select(F.struct(*columns)).scalar()
     return filled.withColumns({c: F.coalesce(F.col(c), national[c]) for c in columns})
