@@ -17,8 +17,9 @@ from mairie.operators.medians import medians
 from mairie.plans import gold as gold_plan
 from mairie.plans import modelling, silver
 from mairie.plans.questions import Report
-from mairie.session import cut_lineage, shared_dir
-from mairie.sources.schemas import table_schema
+from mairie.session import new_path, shared_dir
+from mairie.sources.schemas import PARTITIONS, table_schema
+from mairie.sources.tables import write_table
 
 COMMUNES = 150
 DEPARTMENTS = [f"{d:02d}" for d in range(10)]
@@ -49,11 +50,11 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def once(self, name: str, build) -> DataFrame:
+    def once(self, name: str, build, partition_by=()) -> DataFrame:
         """A stored table: built once per session and folder, in the shared folder."""
         key = (shared_dir(self.spark), self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _written:
-            _written[key] = cut_lineage(build(), name)
+            _written[key] = write_table(build(), new_path(self.spark, name), partition_by)
         return _written[key]
 
     # Bronze shapes: every column is text.
@@ -179,7 +180,7 @@ class Tables:
         ]
         return self.lines().groupBy(F.col("k").cast("string").alias("CODGEO")).agg(*bands)
 
-    # Silver tables.  The municipality-level ones are stored, the results stay lazy.
+    # Silver tables, stored like those of the real pipeline.
 
     def referential(self) -> DataFrame:
         return self.once("referential", self.build_referential)
@@ -188,7 +189,10 @@ class Tables:
         return silver.referential(self.bronze_referential().drop("TYPECOM"), DEPARTMENTS)
 
     def elections(self) -> DataFrame:
-        """The stored form of the results: typed columns, so filters reach the scan."""
+        """Results partitioned by type and year: questions read only what they filter."""
+        return self.once("elections", self.build_elections, PARTITIONS["elections"])
+
+    def build_elections(self) -> DataFrame:
         c = self._vote_columns()
         return self.lines().select(
             code(F.col("k")).alias("code_commune"),

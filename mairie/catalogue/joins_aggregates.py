@@ -101,7 +101,7 @@ def jn08(t):
     ),
 )
 def jn09(t):
-    table = t.spark.createDataFrame(list(mappings.nuance_table().items()), "nuance string, bloc string")
+    table = mappings.dictionary(t.spark, mappings.nuance_table(), "nuance", "bloc")
     df = joins.dictionary_join(t.elections(), table, "nuance_liste", "nuance", "bloc", "bloc", "Divers")
     return df.groupBy("annee", "bloc").agg(F.count(F.lit(1)).alias("n"), F.sum("nb_voix").alias("voix"))
 

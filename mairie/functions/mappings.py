@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mairie.functions.codes import _col, upper_trim
@@ -75,6 +75,12 @@ def nuance_table(scope: str = "national") -> dict[str, str]:
     return table
 
 
+def dictionary(spark: SparkSession, table: dict[str, str], key: str, label: str) -> DataFrame:
+    """A literal table as a two-column DataFrame."""
+    rows = [F.struct(F.lit(k).alias(key), F.lit(v).alias(label)) for k, v in table.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def map_codes(c: Column | str, table: dict[str, str]) -> Column:
     """Label of ``c`` in a literal table, null when absent.
 

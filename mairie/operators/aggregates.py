@@ -118,29 +118,19 @@ def distribution(df: DataFrame, category: str) -> DataFrame:
 def correlations(
     df: DataFrame, indicators: Sequence[str], results: Sequence[str], digits: int | None = None
 ) -> DataFrame:
-    """Pearson correlation of every indicator with every result.
+    """Pearson correlation of every indicator with every result, over the rows that have both.
 
-    All sums of products are taken over exact decimals in a single pass, then
-    turned into one row per pair.
+    All pairs come from one aggregate and are then turned into one row each; a
+    constant column gives null.
     """
-    # Non-null pairs only; 3 digits per value keep every product inside decimal(38, 6).
-    exact = "decimal(16,3)"
-    aggregates, cells = [], []
-    for i, a in enumerate(indicators):
-        for j, b in enumerate(results):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x = F.when(both, F.col(a).cast(exact))
-            y = F.when(both, F.col(b).cast(exact))
-            p = f"_{i}_{j}"
-            aggregates += [
-                F.count(x).alias("n" + p), F.sum(x).alias("x" + p), F.sum(y).alias("y" + p),
-                F.sum(x * y).alias("xy" + p), F.sum(x * x).alias("xx" + p), F.sum(y * y).alias("yy" + p),
-            ]
-            n, sx, sy, sxy, sxx, syy = (
-                F.col(k + p).cast("double") for k in ("n", "x", "y", "xy", "xx", "yy")
-            )
-            spread = F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
-            r = F.when(spread > 0, (n * sxy - sx * sy) / spread)
-            r = r if digits is None else F.round(r.cast("decimal(20,12)"), digits)
-            cells.append(F.struct(F.lit(a).alias("indicateur"), F.lit(b).alias("resultat"), r.alias("r")))
-    return df.agg(*aggregates).select(F.inline(F.array(*cells)))
+    pairs = [(i, r) for i in indicators for r in results]
+    wide = df.agg(
+        *[F.corr(F.col(i).cast("double"), F.col(r).cast("double")).alias(f"_{n}") for n, (i, r) in enumerate(pairs)]
+    )
+    cells = []
+    for n, (i, r) in enumerate(pairs):
+        value = F.nullif(F.col(f"_{n}"), F.lit(float("nan")))
+        if digits is not None:
+            value = F.round(value.cast("decimal(20,12)"), digits)
+        cells.append(F.struct(F.lit(i).alias("indicateur"), F.lit(r).alias("resultat"), value.alias("r")))
+    return wide.select(F.inline(F.array(*cells)))

@@ -55,7 +55,7 @@ def prefer_measure(df: DataFrame, column: str, priority: Sequence[str]) -> DataF
         rank = rank.when(F.col(column) == measure, i)
     best = df.agg(F.min(rank)).scalar()
     chosen = F.get(F.array(*[F.lit(m) for m in priority]), best)
-    return df.where(chosen.isNull() | (F.col(column) == chosen))
+    return df.where(F.col(column).eqNullSafe(F.coalesce(chosen, F.col(column))))
 
 
 def first_round_presidential(elections: DataFrame) -> DataFrame:

@@ -21,14 +21,17 @@ def scan_table(
     return df.select(*columns) if columns else df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True
+) -> DataFrame:
     """Full refresh: overwrite, then read back.
 
     Rows of a partitioned table are rebalanced on the partition columns first:
     small values share a task and a value holding most rows is split over many, so
-    files come out near the advisory size.
+    files come out near the advisory size.  Input that is already laid out by those
+    columns can skip that shuffle with ``rebalance=False``.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
