@@ -124,12 +124,16 @@ def correlations(
     constant column gives null.
     """
     pairs = [(i, r) for i in indicators for r in results]
-    wide = df.agg(
-        *[F.corr(F.col(i).cast("double"), F.col(r).cast("double")).alias(f"_{n}") for n, (i, r) in enumerate(pairs)]
-    )
+    parts = []
+    for n, (i, r) in enumerate(pairs):
+        both = F.col(i).isNotNull() & F.col(r).isNotNull()
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (i, r))
+        parts += [F.covar_pop(x, y).alias(f"c{n}"), F.stddev_pop(x).alias(f"x{n}"), F.stddev_pop(y).alias(f"y{n}")]
+    wide = df.agg(*parts)
     cells = []
     for n, (i, r) in enumerate(pairs):
-        value = F.nullif(F.col(f"_{n}"), F.lit(float("nan")))
+        # The built-in corr raises on a constant column, so the quotient is guarded here.
+        value = F.col(f"c{n}") / F.nullif(F.col(f"x{n}") * F.col(f"y{n}"), F.lit(0.0))
         if digits is not None:
             value = F.round(value.cast("decimal(20,12)"), digits)
         cells.append(F.struct(F.lit(i).alias("indicateur"), F.lit(r).alias("resultat"), value.alias("r")))

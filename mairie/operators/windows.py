@@ -42,10 +42,10 @@ def share_of_total(grouped: DataFrame, count: str, name: str = "pct") -> DataFra
     The total is a scalar subquery over the grouped rows: no un-partitioned window.
     """
     total = grouped.agg(F.sum(count).cast("double")).scalar()
-    return grouped.withColumn(name, F.col(count).cast("double") * 100 / total)
+    return grouped.withColumn(name, F.col(count).cast("double") * 100 / F.nullif(total, F.lit(0.0)))
 
 
 def share_within(grouped: DataFrame, count: str, keys: list[str], name: str = "pct") -> DataFrame:
     """Each group's count as a percentage of its parent group, over already grouped rows."""
-    total = F.sum(count).over(Window.partitionBy(*keys))
-    return grouped.withColumn(name, F.col(count).cast("double") * 100 / total.cast("double"))
+    total = F.sum(count).over(Window.partitionBy(*keys)).cast("double")
+    return grouped.withColumn(name, F.col(count).cast("double") * 100 / F.nullif(total, F.lit(0.0)))
