@@ -8,6 +8,8 @@ documents and population bands are counts of order lines.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,7 +256,17 @@ class Tables:
 
     # Gold tables.
 
+    def store_silver(self) -> None:
+        """Store the silver tables; they do not depend on each other, so their jobs overlap."""
+        builders = [
+            self.elections, self.occupations, self.income, self.typology, self.diplomas,
+            self.births, self.deaths, self.referential,
+        ]
+        with ThreadPoolExecutor(len(builders)) as pool:
+            list(pool.map(lambda build: build(), builders))
+
     def build_gold(self) -> DataFrame:
+        self.store_silver()
         tables = {
             "referentiel_communes": self.referential(),
             "elections": self.elections(),

@@ -297,7 +297,7 @@ def flt01(t):
     return df.select(F.col("code_insee").alias("code_commune"), "libelle", "code_dep")
 
 
-@query("flt02_semi_filter", with_views("select code_commune, count(*) n from v_elections where k % 4 <> 2 group by 1"))
+@query("flt02_semi_filter", with_views("select code_commune, count(*) n from v_elections where code_commune in (select code_commune from v_known) group by 1"))
 def flt02(t):
     known = silver.referential(t.bronze_referential(), DEPARTMENTS)
     return count_by(s.semi_filter(t.elections(), known, "code_commune", "code_insee"), ["code_commune"])
@@ -316,7 +316,7 @@ def flt03(t):
     return count_by(df.where(s.is_metropolitan("code")), ["code"])
 
 
-@query("flt04_member_or_null", with_views("select cast(k as varchar) code from v_ref where k % 4 <> 2"))
+@query("flt04_member_or_null", with_views("select cast(k as varchar) code from v_ref where code_commune in (select code_commune from v_known)"))
 def flt04(t):
     return t.bronze_referential().where(s.member_or_null("TYPECOM")).select(F.col("COM").alias("code"))
 

@@ -41,7 +41,7 @@ def src01(t):
     with_views(
         """select cast(substring(id_election, 1, 4) as smallint) annee, split_part(id_election, '_', 2) type_election,
         cast(right(id_election, 1) as smallint) tour, count(*) n, cast(sum(voix) as bigint) voix
-        from v_elections where k % 4 <> 2 group by 1, 2, 3"""
+        from v_elections where code_commune in (select code_commune from v_known) group by 1, 2, 3"""
     ),
 )
 def src02(t):
@@ -162,13 +162,10 @@ def src11(t):
     return bundle(t.report(), "departements_cles", code_dep=["01", "02", "05"])["q09"]
 
 
-_TYPECOM = "case k % 4 when 0 then 'COM' when 1 then 'ARM' when 2 then 'COMA' end"
-
-
 @query(
     "sch01_alias_rename",
     with_views(
-        f"""select cast(k as varchar) code_insee, libelle, cast(k % 10 as varchar) code_dep, {_TYPECOM} "TYPECOM" from v_ref"""
+        """select cast(k as varchar) code_insee, libelle, cast(k % 10 as varchar) code_dep, typecom "TYPECOM" from v_ref"""
     ),
 )
 def sch01(t):

@@ -70,7 +70,9 @@ def poverty(m: str, g: str, n: str) -> str:
 
 
 VIEWS = {
-    "v_ref": f"select {_CODE.format(k='k')} code_commune, concat('Commune ', k) libelle, lpad(cast(k % 10 as varchar), 2, '0') code_dep, k from (select distinct c_custkey % 150 k from customer)",
+    "v_ref": f"""select {_CODE.format(k='k')} code_commune, concat('Commune ', k) libelle, lpad(cast(k % 10 as varchar), 2, '0') code_dep, k,
+        case k % 4 when 0 then 'COM' when 1 then 'ARM' when 2 then 'COMA' end typecom from (select distinct c_custkey % 150 k from customer)""",
+    "v_known": "select code_commune from v_ref where typecom is null or typecom in ('COM', 'COMD', 'ARM')",
     "v_elections": f"""select {_CODE.format(k='o_custkey % 150')} code_commune, o_custkey % 150 k,
         concat(year(o_orderdate), '_', case o_orderstatus when 'F' then 'pres' when 'O' then 'legi' else 'muni' end, '_t', l_linenumber % 2 + 1) id_election,
         case o_orderpriority when '1-URGENT' then 'SOC' when '2-HIGH' then 'REM' when '3-MEDIUM' then 'LR' when '5-LOW' then 'RN' end nuance,

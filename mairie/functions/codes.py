@@ -72,13 +72,21 @@ def department_name(code: Column | str) -> Column:
 
 
 def election_year(election_id: Column | str) -> Column:
-    """First run of four digits, null when there is none."""
-    return F.regexp_substr(_col(election_id), F.lit("[0-9]{4}")).try_cast("smallint")
+    """First run of four digits, null when there is none.
+
+    Identifiers usually start with the year, which needs no pattern.
+    """
+    c = _col(election_id)
+    leading = F.substring(c, 1, 4).try_cast("smallint")
+    anywhere = F.regexp_substr(c, F.lit("[0-9]{4}")).try_cast("smallint")
+    return F.when(leading >= 1000, leading).otherwise(anywhere)
 
 
 def election_type(election_id: Column | str) -> Column:
     """Second ``_``-separated token, null when there is only one."""
-    return F.get(F.split(_col(election_id), "_"), F.lit(1))
+    c = _col(election_id)
+    token = F.substring_index(F.substring_index(c, "_", 2), "_", -1)
+    return F.when(F.contains(c, F.lit("_")), token)
 
 
 def election_round(election_id: Column | str) -> Column:

@@ -9,25 +9,35 @@ from pyspark.sql import functions as F
 
 from mairie.functions.codes import _col
 
-# A plain decimal number.  Java's parser also takes "12d" or "1f"; those are text here.
-_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-
-
 def to_number(c: Column | str) -> Column:
-    """Text to double; anything that is not a number becomes null."""
+    """Text to double; anything that is not a plain decimal number becomes null.
+
+    The cast itself also takes ``12d``, ``1f``, ``NaN`` and hexadecimal floats: those
+    end in a letter or hold an ``x``, which is cheaper to test than a pattern.
+    """
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    plain = F.right(text, F.lit(1)).isin(list("0123456789.")) & ~F.contains(F.lower(text), F.lit("x"))
+    return F.when(plain, text.try_cast("double"))
 
 
 def to_integer(c: Column | str, dtype: str = "bigint") -> Column:
-    """Text to a nullable integer; ``'12.0'`` is 12, ``'12.5'`` and out-of-range values are null."""
-    number = to_number(c)
-    return F.when(number == F.floor(number), number.try_cast(dtype))
+    """Text to a nullable integer; ``'12.0'`` is 12, ``'12.5'`` and out-of-range values are null.
+
+    Plain digits take the direct cast; only other texts go through double.
+    """
+    text, number = F.trim(_col(c).cast("string")), to_number(c)
+    return F.coalesce(
+        text.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype))
+    )
 
 
-def decimal_comma(c: Column | str) -> Column:
-    """Text with a decimal comma to double."""
-    return to_number(F.replace(_col(c).cast("string"), F.lit(","), F.lit(".")))
+def decimal_comma(c: Column | str, dtype: str = "double") -> Column:
+    """Text with a decimal comma to double, or straight to a decimal type.
+
+    Text that is no number, or does not fit the decimal type, becomes null.
+    """
+    text = F.replace(_col(c).cast("string"), F.lit(","), F.lit("."))
+    return to_number(text) if dtype == "double" else F.trim(text).try_cast(dtype)
 
 
 def sum_ignoring_nulls(*cols: Column | str) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from mairie.session import broadcast_checked, cut_lineage
 
-# Largest group that the built-in median may hold in one task.
-TASK_ROWS = 2_000_000
+# Values of one group that the built-in median may hold in one task, over all columns.
+# Its hash aggregate keeps up to 128 groups at a time before it falls back to sorting.
+TASK_ROWS = 250_000
 _BUCKETS = 4096
 _ROUNDS = 2
 
@@ -26,7 +27,7 @@ def medians(
     """
     keys = list(keys)
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= task_rows:
+    if largest * len(columns) <= task_rows:
         return df.groupBy(*keys).agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
     return medians_by_narrowing(df, columns, keys)
 

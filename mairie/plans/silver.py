@@ -94,8 +94,8 @@ def elections(raw: DataFrame, ref: DataFrame | None = None) -> DataFrame:
     df = df.withColumns(
         {
             "nb_voix": to_integer("nb_voix", "int"),
-            "pct_voix_ins": decimal_comma("pct_voix_ins"),
-            "pct_voix_exp": decimal_comma("pct_voix_exp"),
+            "pct_voix_ins": decimal_comma("pct_voix_ins", "decimal(6,3)"),
+            "pct_voix_exp": decimal_comma("pct_voix_exp", "decimal(6,3)"),
         }
     )
     return h.enforce_schema(df, table_schema("elections"))

@@ -26,10 +26,10 @@ def test_composite_code(spark):
 
 
 def test_election_identifier(spark):
-    data = ["2022_pres_t1", "pres", "x_2017_t2", "2012-legi", None, "70000_a"]
-    assert values(spark, data, codes.election_year("v")) == [2022, None, 2017, 2012, None, 7000]
-    assert values(spark, data, codes.election_type("v")) == ["pres", None, "2017", None, None, "a"]
-    assert values(spark, data, codes.election_round("v")) == [1, None, 2, None, None, None]
+    data = ["2022_pres_t1", "pres", "x_2017_t2", "2012-legi", None, "70000_a", "a_"]
+    assert values(spark, data, codes.election_year("v")) == [2022, None, 2017, 2012, None, 7000, None]
+    assert values(spark, data, codes.election_type("v")) == ["pres", None, "2017", None, None, "a", ""]
+    assert values(spark, data, codes.election_round("v")) == [1, None, 2, None, None, None, None]
     assert values(spark, ["PR2002T1", "PR2002T2", "LG2002T1"], codes.is_presidential_first_round_id("v")) == [True, False, False]
 
 
@@ -40,9 +40,9 @@ def test_department_name_ignores_padding(spark):
 
 
 def test_number_parsing(spark):
-    data = ["12", " 12.5 ", "abc", "", "1d", "2f", "1e3", "-.5", "NaN", None, "1 000"]
-    assert values(spark, data, numbers.to_number("v")) == [12.0, 12.5, None, None, None, None, 1000.0, -0.5, None, None, None]
-    assert values(spark, ["12.0", "12.5", "70000", "x"], numbers.to_integer("v", "smallint")) == [12, None, None, None]
+    data = ["12", " 12.5 ", "abc", "", "1d", "2f", "1e3", "-.5", "NaN", None, "1 000", "0x1p3", "5.", "."]
+    assert values(spark, data, numbers.to_number("v")) == [12.0, 12.5, None, None, None, None, 1000.0, -0.5, None, None, None, None, 5.0, None]
+    assert values(spark, ["12.0", "12.5", "70000", "x", " 7", "+3"], numbers.to_integer("v", "smallint")) == [12, None, None, None, 7, 3]
     assert values(spark, ["12,5", "21000,5", "1.5", "a,b"], numbers.decimal_comma("v")) == [12.5, 21000.5, 1.5, None]
 
 
