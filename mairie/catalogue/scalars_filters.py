@@ -216,7 +216,7 @@ _RULES = "case " + " ".join(
 ) + " end"
 
 
-_TITLED = """(select unnest([n, concat('MR ', n), substring(n, 1, 4)]) x from (select upper(trim(nom)) n from v_elections where nom is not null)
+_TITLED = """(select unnest([n, concat('MR ', n), split_part(n, ' ', 1)]) x from (select upper(trim(nom)) n from v_elections where nom is not null)
     union all select null from v_elections, generate_series(1, 3) where nom is null)"""
 
 
@@ -224,7 +224,7 @@ _TITLED = """(select unnest([n, concat('MR ', n), substring(n, 1, 4)]) x from (s
 def scl22(t):
     nom = codes.upper_trim("nom")
     prefixed = F.when(nom.isNotNull(), F.concat(F.lit("MR "), nom))
-    names = t.bronze_elections().select(F.explode(F.array(nom, prefixed, F.substring(nom, 1, 4))).alias("x"))
+    names = t.bronze_elections().select(F.explode(F.array(nom, prefixed, F.substring_index(nom, " ", 1))).alias("x"))
     return names.groupBy("x", mappings.contains_rule("x").alias("bloc")).agg(F.count(F.lit(1)).alias("n"))
 
 

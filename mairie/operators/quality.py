@@ -162,11 +162,14 @@ def table_counts(tables: Mapping[str, DataFrame], layers: Mapping[str, str]) ->
     )
 
 
-def layer_tables(spark: SparkSession, pattern: str | None = None) -> DataFrame:
-    """Number of catalogued tables per database."""
-    return (
-        spark.sql("SHOW TABLES" + (f" LIKE '{pattern}'" if pattern else ""))
-        .where("not isTemporary")
-        .groupBy("namespace")
-        .agg(F.count(F.lit(1)).alias("tables"))
+def layer_tables(spark: SparkSession, layers: Sequence[str]) -> DataFrame:
+    """Number of catalogued tables in each layer's database."""
+    from mairie.operators.ordering import union_all
+
+    listed = [spark.sql(f"SHOW TABLES IN `{layer}`").where("not isTemporary") for layer in layers]
+    return union_all(
+        *[
+            tables.agg(F.count(F.lit(1)).alias("tables")).select(F.lit(layer).alias("couche"), "tables")
+            for layer, tables in zip(layers, listed)
+        ]
     )

@@ -73,6 +73,13 @@ def referential(
     return h.enforce_schema(kept, schema)
 
 
+def named_departments(ref: DataFrame) -> DataFrame:
+    """The municipality view of the pilot area: code, name and department name."""
+    return ref.select(
+        "code_insee", "libelle", "code_dep", codes.department_name("code_dep").alias("nom_departement")
+    )
+
+
 def elections(raw: DataFrame, ref: DataFrame | None = None) -> DataFrame:
     """Result rows of known municipalities.
 

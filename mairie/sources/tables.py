@@ -52,6 +52,15 @@ def create_table(df: DataFrame, name: str, path: str) -> DataFrame:
     return write_table(typed, path, PARTITIONS.get(name, ()))
 
 
+def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Drop and recreate the catalogue entry of a written table, for SQL text queries."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if spark.sql(f"DESCRIBE {name}").where("col_name = '# Partition Information'").count():
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def update_by_key(df: DataFrame, updates: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """New values of ``column`` for the keys in ``updates``; the others keep theirs.
 

@@ -64,7 +64,7 @@ def compare(spark_table, duck_table) -> str | None:
 
 
 def run_oracle(con, sql):
-    return con.execute(sql).to_arrow_table()
+    return con.sql(sql).to_arrow_table()
 
 
 def main():

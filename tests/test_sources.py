@@ -118,3 +118,26 @@ def test_streamed_append_reads_each_file_once(spark, tmp_path, rows):
     assert load().count() == 1
     write(folder / "b.csv", head + "01001;2017_pres_t2;LR;x\n")
     assert rows(load(), "code_commune", "annee", "tour", "nb_voix") == [("01001", 2017, 2, None), ("01001", 2022, 1, 12)]
+
+
+def test_catalogue_entries_and_layers(spark, tmp_path, rows):
+    from mairie.operators.quality import layer_tables
+
+    df = spark.createDataFrame([("a", "pres", 2002), ("b", "legi", 2007)], "k string, type_election string, annee smallint")
+    spark.sql(f"CREATE DATABASE silver_test LOCATION '{tmp_path}/db'")
+    try:
+        for name in ("un", "deux"):
+            path = str(tmp_path / name)
+            tables.write_table(df, path, ["type_election", "annee"])
+            tables.register_table(spark, f"silver_test.{name}", path)
+        tables.register_table(spark, "silver_test.un", str(tmp_path / "un"))
+        assert rows(spark.sql("select k from silver_test.un where annee = 2007")) == [("b",)]
+        assert rows(layer_tables(spark, ["silver_test"])) == [("silver_test", 2)]
+    finally:
+        spark.sql("DROP DATABASE silver_test CASCADE")
+    assert (tmp_path / "un").exists()
+
+
+def test_named_departments(spark, rows):
+    ref = spark.createDataFrame([("75056", "P", "75"), ("92012", "B", "92"), ("13055", "M", "13")], "code_insee string, libelle string, code_dep string")
+    assert rows(silver.named_departments(ref), "nom_departement") == [("13",), ("Hauts-de-Seine",), ("Paris",)]
