@@ -38,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -141,3 +141,31 @@ def test_catalogue_entries_and_layers(spark, tmp_path, rows):
 def test_named_departments(spark, rows):
     ref = spark.createDataFrame([("75056", "P", "75"), ("92012", "B", "92"), ("13055", "M", "13")], "code_insee string, libelle string, code_dep string")
     assert rows(silver.named_departments(ref), "nom_departement") == [("13",), ("Hauts-de-Seine",), ("Paris",)]
+
+
+class _Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, path):
+        self.folder = path
+
+
+class _Session:
+    def __init__(self, master, named=None, folder=None):
+        self.sparkContext = _Context(master, folder)
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+
+
+def test_shared_folder_choice():
+    from mairie.session import shared_dir
+
+    assert shared_dir(_Session("yarn", named="hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_dir(_Session("yarn", folder="hdfs://x/z")) == "hdfs://x/z"
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session("yarn"))
