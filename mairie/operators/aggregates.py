@@ -120,21 +120,18 @@ def correlations(
 ) -> DataFrame:
     """Pearson correlation of every indicator with every result, over the rows that have both.
 
-    All pairs come from one aggregate and are then turned into one row each; a
-    constant column gives null.
+    Each row is spread into its pairs, which are reduced before the shuffle to one
+    small state per pair and task.  A constant column gives null.
     """
-    pairs = [(i, r) for i in indicators for r in results]
-    parts = []
-    for n, (i, r) in enumerate(pairs):
-        both = F.col(i).isNotNull() & F.col(r).isNotNull()
-        x, y = (F.when(both, F.col(c).cast("double")) for c in (i, r))
-        parts += [F.covar_pop(x, y).alias(f"c{n}"), F.stddev_pop(x).alias(f"x{n}"), F.stddev_pop(y).alias(f"y{n}")]
-    wide = df.agg(*parts)
     cells = []
-    for n, (i, r) in enumerate(pairs):
-        # The built-in corr raises on a constant column, so the quotient is guarded here.
-        value = F.col(f"c{n}") / F.nullif(F.col(f"x{n}") * F.col(f"y{n}"), F.lit(0.0))
-        if digits is not None:
-            value = F.round(value.cast("decimal(20,12)"), digits)
-        cells.append(F.struct(F.lit(i).alias("indicateur"), F.lit(r).alias("resultat"), value.alias("r")))
-    return wide.select(F.inline(F.array(*cells)))
+    for i in indicators:
+        for r in results:
+            both = F.col(i).isNotNull() & F.col(r).isNotNull()
+            x, y = (F.when(both, F.col(c).cast("double")) for c in (i, r))
+            cells.append(F.struct(F.lit(i).alias("indicateur"), F.lit(r).alias("resultat"), x.alias("x"), y.alias("y")))
+    pairs = df.select(F.inline(F.array(*cells)))
+    # The built-in corr raises on a constant column, so the quotient is guarded here.
+    r = F.covar_pop("x", "y") / F.nullif(F.stddev_pop("x") * F.stddev_pop("y"), F.lit(0.0))
+    if digits is not None:
+        r = F.round(r.cast("decimal(20,12)"), digits)
+    return pairs.groupBy("indicateur", "resultat").agg(r.alias("r"))
