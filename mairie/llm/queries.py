@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import lines, minhash
+from mairie.llm import lines, minhash, mixing
 from mairie.llm.common import table
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    # Copies of one document lie in several shards; rows of a document share all but copy, shard and position.
+    return mixed.groupBy("doc_id", "size", "source_size", "target").agg(
+        F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("size"))), F.lit(0)).alias("taken")
+    )
+
+
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.judge_documents(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -24,6 +32,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_source_mixing": op7_source_mixing,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
