@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import lines, minhash, mixing
-from mairie.llm.common import table
+from mairie.llm import lines, minhash, mixing, packing
+from mairie.llm.common import store, table
+
+
+def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut_pieces(table(spark, sf_dir, "documents"))
+    # The digest is taken where the ids are, so the ids need not travel with the ranks.
+    return packing.pack(store(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +38,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_nnls_packing": op4_nnls_packing,
     "op7_source_mixing": op7_source_mixing,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
