@@ -7,10 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import lines, minhash, mixing, packing
+from mairie.llm import chat, lines, minhash, mixing, packing
 from mairie.llm.common import store, table
 
 
+# Conversation -7: texts that look like the template's own control strings.
+LOOKALIKE = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(LOOKALIKE).alias("text"),
+    )
+    return chat.conversation_digests(chat.format_turns(rows.union(added))).drop("n_tokens", "n_loss_tokens")
+
+
+OP1_SQL = r"""
+with rows as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), shown as (
+  select *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') as escaped,
+    case role when 'user' then '### User: ' when 'assistant' then '### Assistant: ' else '### System: ' end as header
+  from rows
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length(header) + length(escaped) + 8) as bigint) as formatted_chars
+from shown group by conv_id
+"""
+
+
 def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents"))
     # The digest is taken where the ids are, so the ids need not travel with the ranks.
@@ -38,9 +72,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op4_nnls_packing": op4_nnls_packing,
     "op7_source_mixing": op7_source_mixing,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat_formatting": OP1_SQL,
+}
