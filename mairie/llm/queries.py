@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import chat, lines, minhash, mixing, packing, vectors
+from mairie.llm import chat, lines, minhash, mixing, packing, spans, vectors
 from mairie.llm.common import store, table
 
 
@@ -49,6 +49,11 @@ def op2_multi_index_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents"))
     # The digest is taken where the ids are, so the ids need not travel with the ranks.
@@ -78,6 +83,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_multi_index_near_dedup": op2_multi_index_near_dedup,
+    "op3_repeated_spans": op3_repeated_spans,
     "op4_nnls_packing": op4_nnls_packing,
     "op7_source_mixing": op7_source_mixing,
     "op9_line_quality": op9_line_quality,
