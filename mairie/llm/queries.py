@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import chat, lines, minhash, mixing, packing, spans, vectors
+from mairie.llm import chat, language, lines, minhash, mixing, packing, spans, vectors
 from mairie.llm.common import store, table
 
 
@@ -60,6 +60,14 @@ def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(store(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(3))
+    model = language.fit(docs.select("doc_id", "text", "lang"), F.coalesce(rest("doc_id") != 1, F.lit(False)))
+    found = language.predict(docs, model)
+    return found.select("doc_id", F.coalesce(rest("doc_id") == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     # Copies of one document lie in several shards; rows of a document share all but copy, shard and position.
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index_near_dedup": op2_multi_index_near_dedup,
     "op3_repeated_spans": op3_repeated_spans,
     "op4_nnls_packing": op4_nnls_packing,
+    "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
