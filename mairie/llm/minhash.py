@@ -116,3 +116,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates; rows without doc_id stay."""
+    dropped = near_duplicates(docs, percent).where("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -184,3 +184,17 @@ def mix_documents(
     return taken.select(*out).union(
         joined.where("shard is null").withColumn("position", F.lit(None).cast("int")).select(*out)
     )
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: each taken document's row as often as it is taken, with the columns of ``docs``.
+
+    Where several rows share a doc_id, the copies taken of that id go to its rows in turn.
+    """
+    taken = mix_documents(docs, **options).where("shard is not null").select(F.col("doc_id").alias("_d"), "copy", "shard", "position")
+    mine = Window.partitionBy("_d").orderBy("copy", "shard", "position")
+    taken = taken.withColumn("_i", F.row_number().over(mine) - 1).drop("copy", "shard", "position")
+    same = Window.partitionBy("doc_id")
+    rows = docs.withColumn("_m", F.count(F.lit(1)).over(same)).withColumn("_r", F.row_number().over(same.orderBy(F.xxhash64("text"))) - 1)
+    match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_i") % F.col("_m") == F.col("_r"))
+    return rows.join(taken, match).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import chat, language, lines, minhash, mixing, packing, spans, vectors
+from mairie.llm import chat, language, lines, minhash, mixing, packing, pii, secrets, spans, vectors
 from mairie.llm.common import store, table
 
 
@@ -60,6 +60,16 @@ def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(store(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces"))
 
 
+def _count(kind: str):
+    return F.size(F.filter(F.split("base", ","), lambda x: x.startswith(kind + ":"))).cast("bigint").alias("n_" + kind)
+
+
+def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_private(docs, pii.fit(docs))
+    return found.select("doc_id", *map(_count, pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rest = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(3))
@@ -76,6 +86,12 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_char_cnn_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.fit(docs))
+    return found.select("doc_id", *map(_count, secrets.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.judge_documents(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -93,8 +109,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index_near_dedup": op2_multi_index_near_dedup,
     "op3_repeated_spans": op3_repeated_spans,
     "op4_nnls_packing": op4_nnls_packing,
+    "op5_semi_markov_pii": op5_semi_markov_pii,
     "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,
+    "op8_char_cnn_secrets": op8_char_cnn_secrets,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
