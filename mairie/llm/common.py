@@ -38,7 +38,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     with _shuffles_removed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``store`` wrote for frames that no later step reads."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mairie.llm.common import store
+from mairie.llm.common import discard, store
 from mairie.llm.textbytes import buffer_of, hashed_words, mix, slices, window_hashes, word_spans
 
 WIDTH = 13
@@ -155,10 +155,12 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
     # At most one document's anchors meet here.
     wanted = each.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
     wanted = store(wanted, "wanted")
+    discard(anchors, shared)
     runs = texts.join(wanted, "doc_id").mapInArrow(
         _run_rows, "doc_id bigint, start int, run bigint, edges array<bigint>, checks array<int>"
     )
     runs = store(runs, "runs")
+    discard(wanted)
 
     # Equal runs are one, with their first and last document.
     distinct = runs.groupBy("run").agg(
@@ -166,6 +168,8 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
         F.first("edges").alias("edges"), F.first("checks").alias("checks"),
     )
     distinct = store(distinct, "distinct-runs")
+    places = store(runs.select("doc_id", "start", "run"), "places")
+    discard(runs)
     edges = distinct.select(
         "run", "first_doc", "last_doc", F.posexplode(F.arrays_zip("edges", "checks")).alias("i", "e")
     ).select("run", "first_doc", "last_doc", "i", "e.edges", "e.checks")
@@ -177,8 +181,9 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
     paths = known.withColumn("path", F.col("i") - F.row_number().over(order))
     paths = paths.groupBy("run", "origin", "path").agg(F.min("i").alias("from"), F.count(F.lit(1)).alias("n"))
     paths = store(paths.groupBy("run").agg(F.collect_list(F.struct("from", "n", "origin")).alias("paths")), "paths")
+    discard(distinct)
     # Source coordinates: where each document has the path.
-    placed = runs.select("doc_id", "start", "run").join(paths, "run").select("doc_id", "start", F.explode("paths").alias("p"))
+    placed = places.join(paths, "run").select("doc_id", "start", F.explode("paths").alias("p"))
     placed = placed.where("p.origin < doc_id")
     first = (F.col("start") + F.col("p.from")).cast("int")
     return placed.select("doc_id", first.alias("start"), F.col("p.n").cast("int").alias("n"), F.col("p.origin").alias("origin"))
