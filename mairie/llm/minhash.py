@@ -5,7 +5,9 @@ map-side combine, so a group of copies of any size is one node.  Buckets of the
 yield one edge from each member to the bucket's smallest one (a star), not all pairs.  Every edge
 is confirmed on the full sets.  Members that the star does not connect are then compared with the
 bucket's members of other components, so a star's centre hides no link between others: every
-banded pair ends up confirmed, refused, or inside one component already.
+banded pair ends up confirmed, refused, or inside one component already.  Only pairs whose
+shingles leave room for the similarity are made: those that no other member has cannot be shared,
+which is exact and spares the far copies of a large group.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def _overlaps(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_x"), batch.column("set_y"), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                u, v = x.values.to_numpy(), y.values.to_numpy()
                 both = np.concatenate([u, v])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
@@ -45,11 +47,14 @@ def _overlaps(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity.  Only their documents' sets are made again."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(set_rows(WIDTH), "doc_id bigint, shingles binary")
-    sets = store(sets, "sets")
+def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The full sets of the documents in ``ids``, made again from their texts."""
+    wanted = docs.join(ids.distinct(), "doc_id", "left_semi")
+    return store(wanted.mapInArrow(set_rows(WIDTH), "doc_id bigint, shingles array<bigint>"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_y"))
     # The second join ships each pair with one set to the other; a centre's set travels once.
@@ -58,6 +63,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _common(sets: DataFrame) -> DataFrame:
+    """(rep, common): how many of a document's shingles some other document of ``sets`` has too."""
+    each = sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1")
+    own = own.groupBy(F.col("doc_id").alias("_d")).agg(F.count(F.lit(1)).alias("own"))
+    joined = sets.join(own, F.col("doc_id") == F.col("_d"), "left")
+    return joined.select(F.col("doc_id").alias("rep"), (F.size("shingles") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
 def _fits(n: str, m: str, percent: int):
     """Sizes that allow the similarity at all."""
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
@@ -90,7 +104,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     inside = store(banded.join(shared, "key"), "buckets")  # members of buckets that hold two sets or more
     star = inside.where(F.col("rep") != F.col("centre")).where(_fits("n_shingles", "m", percent))
     star = store(star.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
-    links = store(_confirmed(star, texts, percent), "links")
+    ends = lambda pairs: pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    links = store(_confirmed(star, _sets(ends(star), texts), percent), "links")
 
     # What the stars leave apart: members of other components in the same bucket.
     found = components(links)
@@ -100,14 +115,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sizes = part.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"))
     part = store(part.join(mixed.where("parts > 1").select("key", "main"), "key"), "mixed")
+    # A partner of a member is a member too, so shingles that no other member has bound what two can
+    # share.  This rules most far copies of a large group out before a pair is made.
+    sets = _sets(part.select(F.col("rep").alias("doc_id")), texts)
+    part = store(part.join(_common(sets).distinct(), "rep"), "open")
     o, m = part.where("part <> main").alias("o"), part.alias("m")
+    shared = F.least("o.common", "m.common")
     rest = o.join(m, "key").where(
         (F.col("o.part") != F.col("m.part"))
         & ((F.col("m.part") == F.col("m.main")) | (F.col("o.rep") < F.col("m.rep")))
-        & _fits("o.n_shingles", "m.n_shingles", percent)
+        & (F.lit(100) * shared >= F.lit(percent) * (F.col("o.n_shingles") + F.col("m.n_shingles") - shared))
     ).select(F.greatest("o.rep", "m.rep").alias("a"), F.least("o.rep", "m.rep").alias("b")).distinct()
     rest = store(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    links = links.union(store(_confirmed(rest, texts, percent), "links"))
+    links = links.union(store(_confirmed(rest, sets, percent), "links"))
 
     found = components(links)
     joined = named.join(classes, key, "left").join(found, F.col("rep") == F.col("node"), "left")

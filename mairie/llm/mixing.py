@@ -26,7 +26,7 @@ from mairie.llm.textbytes import buffer_of, slices, word_spans
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

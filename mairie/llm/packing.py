@@ -28,7 +28,7 @@ from mairie.llm.tokens import encoder
 WINDOW = 1024
 GRAIN = 8
 DEPTH = 3
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def cut_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
@@ -207,5 +207,11 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None) -> DataFrame:
-    """Pieces of ``docs`` with their ids, sequence_id and offset."""
-    return pack(store(cut_pieces(docs, window, tokenizer=tokenizer), "pieces"), window)
+    """Pieces of ``docs`` with their ids, sequence_id and offset.
+
+    Ranks and places are found on lengths alone; the ids are joined to them once.
+    """
+    pieces = cut_pieces(docs, window, tokenizer=tokenizer).withColumn("piece", F.monotonically_increasing_id())
+    pieces = store(pieces, "pieces")  # written once, which also fixes the numbers
+    placed = pack(pieces.select("piece", "doc_id", "start", "length"), window).select("piece", "sequence_id", "offset")
+    return pieces.join(placed, "piece").drop("piece")

@@ -139,12 +139,12 @@ def band_rows(width: int, bins: int, bands: int):
 
 
 def set_rows(width: int):
-    """mapInArrow function: (id, text) to (id, the sorted set as little-endian 64-bit hashes)."""
+    """mapInArrow function: (doc_id, _text) to doc_id and the sorted set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", 4 << 20):
             hashes, starts = shingle_sets(batch.column("_text"), width)
-            sets = [hashes[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.large_binary()).cast(pa.binary())], names=["doc_id", "shingles"])
+            sets = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=["doc_id", "shingles"])
 
     return run
