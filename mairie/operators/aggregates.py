@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mairie.functions.mappings import BLOCS, dominant_bloc, share_column
 from mairie.functions.numbers import exact_mean, round_half_up
-from mairie.operators.medians import TASK_ROWS, medians
+from mairie.operators.medians import medians
 from mairie.operators.windows import share_of_total, share_within
 
 
@@ -67,24 +67,24 @@ def averages(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), pr
 
 
 def median_and_average(
-    df: DataFrame, median_of: str, average_of: str, keys: Sequence[str], task_rows: int = TASK_ROWS
+    df: DataFrame, median_of: str, average_of: str, keys: Sequence[str]
 ) -> DataFrame:
-    m = medians(df, [median_of], keys, task_rows).withColumnRenamed(median_of, "med_" + median_of)
+    m = medians(df, [median_of], keys).withColumnRenamed(median_of, "med_" + median_of)
     a = averages(df, [average_of], keys)
     return m.join(a, list(keys))
 
 
-def overall_median(df: DataFrame, column: str, task_rows: int = TASK_ROWS) -> Column:
+def overall_median(df: DataFrame, column: str) -> Column:
     """Median of a whole column as a scalar subquery."""
-    return medians(df, [column], (), task_rows).scalar()
+    return medians(df, [column], ()).scalar()
 
 
-def summary(df: DataFrame, column: str, task_rows: int = TASK_ROWS) -> DataFrame:
+def summary(df: DataFrame, column: str) -> DataFrame:
     """Mean, median, minimum and maximum in one row."""
     stats = df.agg(
         exact_mean(column).alias("moyenne"), F.min(column).alias("min_val"), F.max(column).alias("max_val")
     )
-    return stats.withColumn("mediane", overall_median(df, column, task_rows))
+    return stats.withColumn("mediane", overall_median(df, column))
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:

@@ -7,38 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mairie.session import broadcast_checked, cut_lineage
+from mairie.session import cut_lineage
 
-# Values of one group that the built-in median may hold in one task, over all columns.
-# Its hash aggregate keeps up to 128 groups at a time before it falls back to sorting.
-TASK_ROWS = 250_000
-_BUCKETS = 4096
-_ROUNDS = 2
+# Distinct values of one slice, whatever their distribution and however large their group is.
+SLICE_ROWS = 200_000
 
 
 def medians(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), task_rows: int = TASK_ROWS
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One row per key with the exact, interpolating median of each column.
 
-    The largest group is counted first.  While it fits in a task the built-in
-    ``median`` does all columns in one aggregate; beyond that the ranks are found
-    by narrowing value ranges, which spreads every group over the cluster.
-    """
-    keys = list(keys)
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest * len(columns) <= task_rows:
-        return df.groupBy(*keys).agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
-    return medians_by_narrowing(df, columns, keys)
-
-
-def medians_by_narrowing(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact medians from counted values.
-
-    Values are counted per (key, column, value), which pre-aggregates copies and
-    shuffles on the value.  Each round splits the current value range of a group
-    into equal-width buckets and keeps those that hold the middle ranks; only the
-    values left at the end are ranked one by one.
+    Values are counted per (key, column, value), which pre-aggregates copies, and laid out in
+    range slices of about ``slice_rows`` values; a large group simply spans many slices.  Running
+    counts over the slices tell which one or two hold a group's middle ranks, and only these are
+    ranked.  The steps are the same for every size, and slices follow the values' own quantiles,
+    so outliers and heavy tails do not crowd one task.  NaN is larger than any number.
     """
     keys = list(keys)
     group = [*keys, "_column"]
@@ -46,25 +30,18 @@ def medians_by_narrowing(df: DataFrame, columns: Sequence[str], keys: Sequence[s
         keys, list(columns), "_column", "_v"
     )
     counted = long.where("_v is not null").groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    # Each round reads the counted values again, and measures its bounds.
     counted = cut_lineage(counted, "counted")
-    bounds = counted.groupBy(*group).agg(
-        F.min("_v").alias("_lo"),
-        F.max("_v").alias("_hi"),
-        F.sum("_n").alias("_total"),
-        F.lit(0).cast("bigint").alias("_below"),
-    )
-    bounds = cut_lineage(bounds, "bounds")
-    for _ in range(_ROUNDS):
-        bounds = cut_lineage(_narrow(counted, bounds, group), "bounds")
-    inside = _inside(counted, bounds, group)
-    w = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    slices = max(1, -(-counted.count() // slice_rows))
+    # The number of a slice is stored with its rows, so it stays what it was.
+    ranged = counted.repartitionByRange(slices, *group, "_v").withColumn("_slice", F.spark_partition_id())
+    ranged = cut_lineage(ranged, "ranged")
+    inside = _middle_slices(ranged, group)
+    w = Window.partitionBy(*group, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_last", F.col("_below") + F.sum("_n").over(w))
-    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     long_medians = ranked.groupBy(*group).agg(
         (
-            F.min(F.when(F.col("_last") >= lower, F.col("_v"))) * 0.5
-            + F.min(F.when(F.col("_last") >= upper, F.col("_v"))) * 0.5
+            F.min(F.when(F.col("_last") >= F.col("_lower"), F.col("_v"))) * 0.5
+            + F.min(F.when(F.col("_last") >= F.col("_upper"), F.col("_v"))) * 0.5
         ).alias("_m")
     )
     wide = [F.max(F.when(F.col("_column") == c, F.col("_m"))).alias(c) for c in columns]
@@ -78,39 +55,21 @@ def medians_by_narrowing(df: DataFrame, columns: Sequence[str], keys: Sequence[s
     return every.join(found, same, "left").select(*keys, *columns)
 
 
-def _inside(counted: DataFrame, bounds: DataFrame, group: list[str]) -> DataFrame:
-    b = broadcast_checked(bounds).alias("b")
-    c = counted.alias("c")
+def _middle_slices(ranged: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of the slices that hold a group's middle ranks, with the count below each slice."""
+    sums = ranged.groupBy(*group, "_slice").agg(F.sum("_n").alias("_in_slice"))
+    running = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("_in_slice").over(Window.partitionBy(*group))
+    sums = sums.withColumns(
+        {
+            "_to": F.sum("_in_slice").over(running),
+            "_lower": F.floor((total + 1) / 2),
+            "_upper": F.floor(total / 2) + 1,
+        }
+    ).withColumn("_below", F.col("_to") - F.col("_in_slice"))
+    touched = sums.where((F.col("_to") >= F.col("_lower")) & (F.col("_below") < F.col("_upper"))).alias("b")
+    c = ranged.alias("c")
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in group]
-    within = F.col("c._v").between(F.col("b._lo"), F.col("b._hi"))
-    return c.join(b, [*same, within]).select("c.*", "b._lo", "b._hi", "b._total", "b._below")
-
-
-def _narrow(counted: DataFrame, bounds: DataFrame, group: list[str]) -> DataFrame:
-    """Bounds shrunk to the buckets that hold the two middle ranks."""
-    width = F.col("_hi") - F.col("_lo")
-    bucket = F.when(
-        width > 0, F.least(F.lit(_BUCKETS - 1), F.floor((F.col("_v") - F.col("_lo")) / width * _BUCKETS))
-    ).otherwise(F.lit(0))
-    histogram = (
-        _inside(counted, bounds, group)
-        .groupBy(*group, bucket.alias("_bucket"))
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-            F.max("_total").alias("_total"),
-            F.max("_below").alias("_below"),
-        )
-    )
-    w = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    running = histogram.withColumn("_last", F.col("_below") + F.sum("_n").over(w))
-    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    first = F.col("_last") - F.col("_n")
-    touched = (F.col("_last") >= lower) & (first < upper)
-    return running.where(touched).groupBy(*group).agg(
-        F.min("_min").alias("_lo"),
-        F.max("_max").alias("_hi"),
-        F.max("_total").alias("_total"),
-        F.min(first).alias("_below"),
+    return c.join(touched, [*same, F.col("c._slice") == F.col("b._slice")]).select(
+        "c.*", "b._below", "b._lower", "b._upper"
     )

@@ -14,7 +14,6 @@ from mairie.operators import joins
 from mairie.operators.aggregates import pivot_shares, with_dominant_bloc
 from mairie.operators.harmonise import enforce_schema
 from mairie.operators.imputation import impute_medians
-from mairie.operators.medians import TASK_ROWS
 from mairie.operators.selection import first_round_presidential
 from mairie.plans.silver import OCCUPATIONS, SNAPSHOT_YEAR
 from mairie.session import cut_lineage
@@ -93,7 +92,6 @@ def features_communes(
     typology: DataFrame | None = None,
     scope: str = "national",
     snapshot_year: int = SNAPSHOT_YEAR,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """The typed gold table.
 
@@ -101,5 +99,5 @@ def features_communes(
     check and both imputation levels read them again.
     """
     joined = cut_lineage(join_sources(silver, typology, scope, snapshot_year), "gold-joined")
-    filled = impute_medians(department_fallback(joined), IMPUTED, "code_dep", task_rows)
+    filled = impute_medians(department_fallback(joined), IMPUTED, "code_dep")
     return enforce_schema(filled, table_schema("features_communes"))

@@ -17,7 +17,7 @@ from mairie.functions.territory import TERRITORY_TYPES, territory_rank
 from mairie.operators import joins
 from mairie.operators.aggregates import crosstab
 from mairie.operators.harmonise import add_missing, enforce_schema
-from mairie.operators.medians import TASK_ROWS, medians
+from mairie.operators.medians import medians
 from mairie.operators.windows import MAIN_SHARES, lag_features, trend_features
 from mairie.session import cut_lineage
 from mairie.sources.schemas import table_schema
@@ -54,12 +54,12 @@ def model_rows(gold: DataFrame) -> DataFrame:
     return rows
 
 
-def train_medians(train: DataFrame, features: Sequence[str], task_rows: int = TASK_ROWS) -> dict[str, float]:
+def train_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """Exact medians of the training rows; features without any value are left out.
 
     One row of as many numbers as there are features reaches the driver.
     """
-    row = medians(train, features, (), task_rows).first().asDict()
+    row = medians(train, features, ()).first().asDict()
     return {c: v for c, v in row.items() if v is not None}
 
 
@@ -138,26 +138,38 @@ class Trained:
         return out.withColumns(columns).drop(*drop)
 
 
-def _training_frame(train: DataFrame, features: Sequence[str], target: str, task_rows: int):
-    """Filled rows with label and weight, written once: learners pass over them many times."""
-    fills = train_medians(train, features, task_rows)
+# Slices of the training rows; fixed, since learners draw their samples slice by slice.
+TRAINING_SLICES = 8
+
+
+def _training_frame(train: DataFrame, features: Sequence[str], target: str, weighted: bool = True):
+    """Filled rows with label (and weight), written once: learners pass over them many times.
+
+    Rows are laid out by key in a fixed number of sorted slices, so a seed gives the same model
+    whatever the layout of the input.
+    """
+    fills = train_medians(train, features)
     used = [f for f in features if f in fills]
     seen = [r[0] for r in train.select(target).distinct().where(F.col(target).isin(LABELS)).collect()]
     labels = [x for x in LABELS if x in seen]
-    rows = class_weights(train.where(F.col(target).isin(labels)), target)
+    rows = train.where(F.col(target).isin(labels))
+    rows = class_weights(rows, target) if weighted else rows
     rows = label_indexer(labels, target).transform(fill_medians(rows, fills))
     rows = VectorAssembler(inputCols=used, outputCol="features").transform(rows)
-    return cut_lineage(rows.select("features", "label", "poids"), "training"), used, fills, labels
+    keys = [c for c in ("code_commune", "annee") if c in rows.columns]
+    if keys:
+        rows = rows.repartition(TRAINING_SLICES, *keys).sortWithinPartitions(*keys)
+    kept = ["features", "label", *(["poids"] if weighted else [])]
+    return cut_lineage(rows.select(*kept), "training"), used, fills, labels
 
 
 def train_forest(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
     target: str = "bloc_dominant",
-    task_rows: int = TASK_ROWS,
     **settings,
 ) -> Trained:
-    rows, used, fills, labels = _training_frame(train, features, target, task_rows)
+    rows, used, fills, labels = _training_frame(train, features, target)
     learner = RandomForestClassifier(labelCol="label", weightCol="poids", **{**FOREST, **settings})
     model = learner.fit(rows)
     importances = sorted(
@@ -171,11 +183,10 @@ def train_boosting(
     features: Sequence[str] = FEATURES,
     target: str = "bloc_dominant",
     parallelism: int = 4,
-    task_rows: int = TASK_ROWS,
     **settings,
 ) -> Trained:
     """One booster per class seen in training: the built-in booster is binary."""
-    rows, used, fills, labels = _training_frame(train, features, target, task_rows)
+    rows, used, fills, labels = _training_frame(train, features, target, weighted=False)
     booster = GBTClassifier(**{**BOOSTING, **settings})
     model = OneVsRest(
         classifier=booster, labelCol="label", featuresCol="features",

@@ -64,8 +64,8 @@ def load_silver(
     keep("deces", silver.vital_events(lines("deces"), ref, "nb_deces", DEATH_MEASURES))
     layout = "by_year" if scope == "pilot" else "snapshot"
     keep("revenus", silver.income(lines("revenus"), ref, layout))
-    keep("csp", silver.occupations(scan_sheet(spark, path("csp"), "DR"), ref))
-    sheet = scan_sheet(spark, path("diplomes"), "CODGEO")
+    keep("csp", silver.occupations(with_file_order(scan_sheet(spark, path("csp"), "DR")), ref))
+    sheet = with_file_order(scan_sheet(spark, path("diplomes"), "CODGEO"))
     keep("diplomes", silver.diplomas(sheet, ref))
     if scope == "national":
         tables.write_table(silver.population_typology(sheet), f"{out}/silver/typologie")

@@ -14,7 +14,6 @@ from mairie.functions.territory import territory_type
 from mairie.operators import harmonise as h
 from mairie.operators import selection as s
 from mairie.operators.aggregates import overall_median
-from mairie.operators.medians import TASK_ROWS
 from mairie.sources.delimited import FILE_ORDER
 from mairie.sources.schemas import table_schema
 
@@ -61,13 +60,17 @@ def referential(
     )
     schema = table_schema("referentiel_communes")
     named = h.rename_aliases(raw, h.REFERENTIAL_ALIASES)
-    kept = h.keep_existing(named, [*schema.fieldNames(), "TYPECOM"])
+    kept = h.keep_existing(named, [*schema.fieldNames(), "TYPECOM", FILE_ORDER])
     department = codes.department_code("code_dep", style)
     kept = kept.withColumn("code_insee", codes.commune_code("code_insee")).where(
         department.isin(list(wanted))
     )
     if style == "national" and "TYPECOM" in kept.columns:
         kept = kept.where(s.member_or_null("TYPECOM"))
+        # One row per code: a commune before a delegated one before a district, then line order.
+        rank = F.when(F.col("TYPECOM") == "COM", 0).when(F.col("TYPECOM") == "COMD", 1).otherwise(2)
+        order = [F.col(FILE_ORDER)] if FILE_ORDER in kept.columns else [F.col(c).asc_nulls_last() for c in kept.columns]
+        kept = s.keep_first(kept, ["code_insee"], [rank, *order])
     if not keep_raw_department:
         kept = kept.withColumn("code_dep", department)
     return h.enforce_schema(kept, schema)
@@ -146,7 +149,6 @@ def income(
     national_median: float | None = None,
     digits: int | None = 1,
     prefer_source: bool = False,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Income table with the estimated poverty rate.
 
@@ -180,7 +182,7 @@ def income(
         median = (
             F.lit(national_median)
             if national_median is not None
-            else overall_median(out, "mediane_revenu_disp", task_rows)
+            else overall_median(out, "mediane_revenu_disp")
         )
         rate = poverty_rate("mediane_revenu_disp", "gini", median, digits)
         out = out.withColumn(

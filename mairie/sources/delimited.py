@@ -18,11 +18,13 @@ def scan_delimited(
     """Splittable scan of a delimited file or folder.
 
     Large files are read in ``spark.sql.files.maxPartitionBytes`` slices by all
-    executors; ``multiline`` gives that up for quoted line breaks.
+    executors; ``multiline`` gives that up for quoted line breaks.  Files of a folder
+    must have one header; a file with other names or another order raises.
     """
     return (
         spark.read.option("sep", sep)
         .option("header", True)
+        .option("enforceSchema", False)  # a file whose header differs raises
         .option("inferSchema", False)
         .option("encoding", encoding)
         .option("multiLine", multiline)
