@@ -86,10 +86,15 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _content():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def sized_documents(docs: DataFrame, seed: int, source: str = "source") -> DataFrame:
-    """doc_id, source, size, place (a seeded random 64-bit order) and copy number among equal rows."""
-    sized = docs.select("doc_id", F.col(source).cast("string").alias("source"), F.col("text").alias("_text")).mapInArrow(
-        _sizes, "doc_id bigint, source string, size bigint"
+    """doc_id, source, size, content (a hash of the text) and place (a seeded random 64-bit order) of each row."""
+    text = F.col("text").alias("_text")
+    sized = docs.select("doc_id", F.col(source).cast("string").alias("source"), _content().alias("content"), text).mapInArrow(
+        _sizes, "doc_id bigint, source string, content bigint, size bigint"
     )
     return sized.withColumn("place", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), "size"))
 
@@ -140,7 +145,7 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
     rows = rows.join(closing, F.col("source").eqNullSafe(F.col("_s")), "left")
     last = F.coalesce(name == F.col("_best"), F.lit(False)) & (F.col("more") == 0)
     return rows.withColumn("copies", F.col("times") + F.col("more") + last.cast("bigint")).select(
-        "doc_id", "source", "size", "place", "source_size", "target", "before", "copies"
+        "doc_id", "source", "content", "size", "place", "source_size", "target", "before", "copies"
     )
 
 
@@ -149,8 +154,8 @@ def mix_documents(
 ) -> DataFrame:
     """One row per taken copy, and one with null copy and shard per document that is not taken.
 
-    Columns: doc_id, source, size, source_size, target, copy, shard, position (the order in the
-    shard, from 0).  Null source is a source of its own; null and empty texts have size 0 and are
+    Columns: doc_id, source, content (a hash of the text), size, source_size, target, copy, shard,
+    position (the order in the shard, from 0).  Null source is a source of its own; null and empty texts have size 0 and are
     never taken, nor do they count.  Rows that repeat are each taken on their own.  Reruns agree.
     The driver holds block counts by shard and source only: (all words / shard_words) * sources numbers.
     """
@@ -180,7 +185,7 @@ def mix_documents(
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "place", "copy"), "doc_id", "copy", "size")
     position = F.when(F.col("shard").isNotNull(), F.row_number().over(local) - 1)
     taken = joined.where("shard is not null").withColumn("position", position)
-    out = ["doc_id", "source", "size", "source_size", "target", "copy", "shard", "position"]
+    out = ["doc_id", "source", "content", "size", "source_size", "target", "copy", "shard", "position"]
     return taken.select(*out).union(
         joined.where("shard is null").withColumn("position", F.lit(None).cast("int")).select(*out)
     )
@@ -189,12 +194,16 @@ def mix_documents(
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each taken document's row as often as it is taken, with the columns of ``docs``.
 
-    Where several rows share a doc_id, the copies taken of that id go to its rows in turn.
+    Rows that share a doc_id and a text share the copies taken of them evenly.  Whole rows are
+    shuffled once: the join leaves equal rows side by side, which is the order their ranks need.
     """
-    taken = mix_documents(docs, **options).where("shard is not null").select(F.col("doc_id").alias("_d"), "copy", "shard", "position")
-    mine = Window.partitionBy("_d").orderBy("copy", "shard", "position")
-    taken = taken.withColumn("_i", F.row_number().over(mine) - 1).drop("copy", "shard", "position")
-    same = Window.partitionBy("doc_id")
-    rows = docs.withColumn("_m", F.count(F.lit(1)).over(same)).withColumn("_r", F.row_number().over(same.orderBy(F.xxhash64("text"))) - 1)
-    match = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_i") % F.col("_m") == F.col("_r"))
-    return rows.join(taken, match).select(*docs.columns)
+    taken = mix_documents(docs, **options).where("shard is not null")
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n")]
+    taken = taken.groupBy(*key, F.col("content").alias("_c")).agg(F.count(F.lit(1)).alias("_taken"))
+    same = Window.partitionBy("_d", "_n", "_c")
+    rows = docs.select(*docs.columns, *key, _content().alias("_c")).join(taken.hint("merge"), ["_d", "_n", "_c"])
+    rank, among = F.row_number().over(same.orderBy("_d", "_n", "_c")), F.count(F.lit(1)).over(same)
+    rows = rows.withColumn("_rank", rank).withColumn("_among", among)
+    share = F.floor(F.col("_taken") / F.col("_among")) + (F.col("_rank") <= F.col("_taken") % F.col("_among")).cast("int")
+    rows = rows.withColumn("_copies", share.cast("int")).where("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
