@@ -98,7 +98,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = store(usable.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), *key)
     members = usable.join(reps, ["doc_id", *key], "left_semi")
-    banded = members.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("key"))
+    banded = members.select(F.col("doc_id").alias("rep"), "set_a", "n_shingles", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("m"))
     shared = shared.where("centre < last").select("key", "centre", "m")
     inside = store(banded.join(shared, "key"), "buckets")  # members of buckets that hold two sets or more
@@ -110,7 +110,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # What the stars leave apart: members of other components in the same bucket.
     found = components(links)
     part = inside.join(found, inside["rep"] == found["node"], "left").select(
-        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part")
+        "key", "rep", "set_a", "n_shingles", F.coalesce("component", "rep").alias("part")
     )
     sizes = part.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"))
@@ -118,12 +118,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # A partner of a member is a member too, so shingles that no other member has bound what two can
     # share.  This rules most far copies of a large group out before a pair is made.
     sets = _sets(part.select(F.col("rep").alias("doc_id")), texts)
-    part = store(part.join(_common(sets).distinct(), "rep"), "open")
+    # A pair meets in every bucket it shares; it is made in the first one only, told by the keys before.
+    # A repeated doc_id has the keys of each of its sets.
+    bands = members.select(F.col("doc_id").alias("rep"), "set_a", "bands").dropDuplicates(["rep", "set_a"])
+    part = part.join(_common(sets).distinct(), "rep").join(bands, ["rep", "set_a"])
+    before = F.greatest(F.array_position("bands", F.col("key")) - 1, F.lit(0))
+    earlier = F.slice("bands", F.lit(1), before.cast("int"))
+    part = store(part.withColumn("earlier", earlier).drop("bands"), "open")
     o, m = part.where("part <> main").alias("o"), part.alias("m")
     shared = F.least("o.common", "m.common")
     rest = o.join(m, "key").where(
         (F.col("o.part") != F.col("m.part"))
         & ((F.col("m.part") == F.col("m.main")) | (F.col("o.rep") < F.col("m.rep")))
+        & ~F.arrays_overlap("o.earlier", "m.earlier")
         & (F.lit(100) * shared >= F.lit(percent) * (F.col("o.n_shingles") + F.col("m.n_shingles") - shared))
     ).select(F.greatest("o.rep", "m.rep").alias("a"), F.least("o.rep", "m.rep").alias("b")).distinct()
     rest = store(rest.join(star, ["a", "b"], "left_anti"), "rest")
