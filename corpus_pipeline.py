@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return minhash.drop_near_duplicates(docs)
+    """One document of each group of near-duplicates stays: word shingles with a similarity of 0.8 or more."""
+    return minhash.drop_near_duplicates(docs, percent=80)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from mairie.llm.common import components, store
 from mairie.llm.shingles import band_rows, set_rows
 
 WIDTH = 5
-# 42 bands of 6: a pair with similarity 0.85 shares no band with probability 2e-9, one at 0.8 with 2e-6.
+# 42 bands of 6: a pair with similarity 0.85 shares no band with probability 2e-9, one at 0.8 with 3e-6.
 BINS, BANDS = 252, 42
 
 

@@ -97,6 +97,39 @@ def test_near_duplicates(spark, texts, words):
         assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (len(sets[i]), find(i), find(i) == i)
 
 
+def test_near_dedup_stage_takes_pairs_from_080(spark, texts, words):
+    import corpus_pipeline
+
+    rows = [(i, texts[i]) for i in sorted(texts)]
+    # 105 words have 101 shingles, and each changed word takes 5 of them: similarities of 0.91, 0.82 and 0.74.
+    for k, changed in enumerate((1, 2, 3) * 4):
+        own = [f"p{k}w{j}" for j in range(105)]
+        other = [f"q{k}w{j}" if j in range(20, 20 + 30 * changed, 30) else w for j, w in enumerate(own)]
+        rows += [(10**6 + 2 * k, " ".join(own)), (10**6 + 2 * k + 1, " ".join(other))]
+    sets = {}
+    for i, text in rows:
+        w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+    holders, root, between = defaultdict(list), {i: i for i in sets}, 0
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i in sorted(sets):
+        for j, n in Counter(j for s in sets[i] for j in holders[s]).items():
+            union = len(sets[i]) + len(sets[j]) - n
+            between += 80 * union <= 100 * n < 85 * union
+            if 100 * n >= 80 * union:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+        for s in sets[i]:
+            holders[s].append(i)
+    assert between >= 4
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).select("doc_id").collect()}
+    assert kept == {i for i in sets if find(i) == i}
+
+
 def test_packing_covers_every_id_once(spark, texts):
     rows, tokens = QUERIES["op4_nnls_packing"](spark, SF).collect(), encoder()
     pieces, sequences = defaultdict(list), defaultdict(list)
