@@ -231,6 +231,17 @@ def test_secret_spans(spark, texts):
         assert (g.n_assign, g.n_access, g.n_hex) == n
 
 
+def test_runs_end_with_their_row(spark):
+    digest = "0123456789abcdef0123456789abcdef"
+    texts = ["ends with code", digest + " is a key", digest, digest, "", None, digest, digest[:12], digest[:12], "x" + digest, "a" * 23]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: r.base for r in secrets.find_secrets(docs, None).collect()}
+    whole = "hex:0:32"
+    assert [got[k] for k in range(len(texts))] == ["", whole, whole, whole, "", "", whole, "", "", "hex:1:33", ""]
+    data, rows = secrets.buffer_of(pa.array(["tail_of_key", "ABCDEFGHIJ0123456789", "ABCDEFGHIJ0123456789", "", "AB", "ABCDEFGHIJ012345678"]))
+    assert secrets._long_runs(data, rows, secrets._KEY_BYTE, 20).tolist() == [False, True, True, False, False, False]
+
+
 def test_network_learns_and_calibrates():
     rng = np.random.default_rng(0)
     key = lambda: "".join(rng.choice(list("0123456789abcdef"), 30))
