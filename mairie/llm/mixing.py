@@ -99,11 +99,67 @@ def sized_documents(docs: DataFrame, seed: int, source: str = "source") -> DataF
     return sized.withColumn("place", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), "size"))
 
 
+def _running(rows: DataFrame, value, name: str, order: list[str], most: str | None = None) -> DataFrame:
+    """``rows`` with the sum of ``value`` before each row in its source's order, in two levels: in its slice, then over slices.
+
+    Slices before which the sum is above the column ``most`` already are left out.
+    """
+    sums = rows.groupBy("source", "slice").agg(F.sum(value).alias("_words"))
+    earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col("source").alias("_s"), F.col("slice").alias("_k"), F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_base")
+    )
+    rows = rows.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("slice") == F.col("_k")))
+    rows = rows.where(F.col("_base") <= F.col(most)) if most else rows
+    inner = Window.partitionBy("source", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inner", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    return rows.withColumn(name, F.col("_base") + F.col("_inner")).drop("_s", "_k", "_base", "_inner")
+
+
+def _fill(rows: DataFrame) -> DataFrame:
+    """(_s, steps): per source the runs [low, high) of ``before`` whose documents of at most ``cap`` words are taken once more.
+
+    A document is taken when it fits what those before it in the order leave of ``rest``; others are passed
+    over.  Each round goes on to the first document of more than half the gap that fits, or to the first of
+    at most half that does not.  Either way half the gap is filled at least, so rounds grow with the
+    logarithm of the largest remainder.  The driver holds three numbers per source and round.
+    """
+    spark = rows.sparkSession
+    size = F.col("size")
+    sources = rows.where(size > 0).groupBy("source").agg(F.first("rest").alias("rest")).collect()
+    todo = {r.source: (0, r.rest) for r in sources if r.rest >= 1}
+    steps: dict[str | None, list[tuple[int, int, float]]] = {}
+    end = 2**62
+    while todo:
+        state = spark.createDataFrame([(k, *v) for k, v in todo.items()], "_t string, _at bigint, _gap double")
+        here = rows.join(state, F.col("source").eqNullSafe(F.col("_t")))
+        here = here.where((size > 0) & (F.col("before") >= F.col("_at")) & (size <= F.col("_gap")))
+        small = size <= F.col("_gap") / 2
+        here = here.select("source", "slice", "before", "size", "_gap", small.alias("_small"))
+        filled = _running(here, F.when(F.col("_small"), size).otherwise(0), "_filled", ["before"], "_gap")
+        fits = F.col("_filled") + size <= F.col("_gap")
+        stop = F.struct("before", "size", "_filled", "_small")
+        found = filled.where(fits != F.col("_small")).groupBy("source").agg(F.min(stop).alias("stop")).collect()
+        stops = {r.source: r.stop for r in found}
+        for source, (at, gap) in list(todo.items()):
+            stop, mine = stops.get(source), steps.setdefault(source, [])
+            mine.append((at, stop.before if stop else end, gap / 2))
+            if stop and not stop["_small"]:
+                mine.append((stop.before, stop.before + 1, gap))
+            left = gap - stop["_filled"] - (0 if stop["_small"] else stop.size) if stop else 0
+            if left >= 1:
+                todo[source] = (stop.before + stop.size, left)
+            else:
+                del todo[source]
+    return spark.createDataFrame(list(steps.items()), "_s string, steps array<struct<low bigint, high bigint, cap double>>")
+
+
 def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int = MOST) -> DataFrame:
-    """Each document with source_size, target, ``before`` (words before it in its source's order) and copies.
+    """Each document with source_size, target, ``before`` (words before it in its source's order), copies, times and ``again``.
 
-    All documents are taken ``floor(target / size)`` times; the first ones of the order that fit the
-    remainder are taken once more, and so is the one whose size closes the last gap best.
+    All documents are taken ``floor(target / size)`` times; each one of the order that fits what is left of
+    the remainder is taken once more, until none fits, and so is the one whose size closes the last gap
+    best.  ``again`` is the number of words before a document among those taken once more.
     """
     sized = store(sized_documents(docs, seed), "sized")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -119,20 +175,15 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
     slices_of = F.ceil(F.col("rows") / SLICE_ROWS)
     unit = (F.col("place") / F.lit(2.0**64)) + F.lit(0.5)
     rows = rows.withColumn("slice", F.least(F.floor(unit * slices_of), slices_of - 1).cast("bigint"))
-    sums = rows.groupBy("source", "slice").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("source").alias("_s"), F.col("slice").alias("_k"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base")
-    )
-    inner = Window.partitionBy("source", "slice").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    rows = rows.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("slice") == F.col("_k")))
-    rows = rows.withColumn("before", F.col("base") + F.col("inner")).drop("_s", "_k")
+    rows = _running(rows, F.col("size"), "before", ["place", "doc_id", "size"])
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("times") * F.col("source_size")
     rows = rows.withColumn("times", times.cast("bigint")).withColumn("rest", rest)
-    fits = (F.col("before") + F.col("size") <= F.col("rest")) & (F.col("size") > 0) & (F.col("times") < most)
-    rows = store(rows.withColumn("more", fits.cast("bigint")), "ordered")
+    rows = store(rows, "ordered")
+    steps = _fill(rows.where(F.col("times") < most))
+    taken = lambda x: (F.col("before") >= x["low"]) & (F.col("before") < x["high"]) & (F.col("size") <= x["cap"])
+    more = F.coalesce(F.exists("steps", taken), F.lit(False)) & (F.col("size") > 0)
+    rows = rows.join(steps, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("more", more.cast("bigint")).drop("_s", "steps")
     # The document that closes a source's remaining gap best, if taking it brings the sum nearer.
     gaps = rows.groupBy("source").agg((F.first("rest") - F.sum(F.col("size") * F.col("more"))).alias("gap"))
     gaps = gaps.withColumnRenamed("source", "_s")
@@ -144,8 +195,10 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
     closing = closing.select(F.col("source").alias("_s"), F.col("best.name").alias("_best"))
     rows = rows.join(closing, F.col("source").eqNullSafe(F.col("_s")), "left")
     last = F.coalesce(name == F.col("_best"), F.lit(False)) & (F.col("more") == 0)
-    return rows.withColumn("copies", F.col("times") + F.col("more") + last.cast("bigint")).select(
-        "doc_id", "source", "content", "size", "place", "source_size", "target", "before", "copies"
+    rows = store(rows.withColumn("more", F.col("more") + last.cast("bigint")).drop("_s", "_best"), "filled")
+    rows = _running(rows, F.col("size") * F.col("more"), "again", ["before"])
+    return rows.withColumn("copies", F.col("times") + F.col("more")).select(
+        "doc_id", "source", "content", "size", "place", "source_size", "target", "before", "copies", "times", "again"
     )
 
 
@@ -163,7 +216,8 @@ def mix_documents(
     copies = placed.withColumn(
         "copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     )
-    start = F.col("copy") * F.col("source_size") + F.col("before")
+    # The last pass holds the documents taken once more only, so no block of it is empty.
+    start = F.col("copy") * F.col("source_size") + F.when(F.col("copy") < F.col("times"), F.col("before")).otherwise(F.col("again"))
     copies = copies.withColumn("block", F.floor(start / block_words).cast("bigint"))
     found = copies.where("copy is not null").groupBy("source").agg((F.max("block") + 1).alias("blocks"), F.sum("size").alias("words"))
     quotas = found.orderBy(F.col("source").isNull(), "source").collect()

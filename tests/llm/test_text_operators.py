@@ -188,6 +188,44 @@ def test_mix_reaches_its_targets(spark, texts, words):
         assert target <= 3 * size and abs(sum(taken) - target) <= max(0.05 * target, largest[size, target] / 2)
 
 
+def test_giant_documents_leave_room_for_others(spark):
+    # Six sources with a remainder of 20 000 words and a document of 60 000; the seventh takes what they give up.
+    rows = [(1000 * k + j, "w " * (60_000 if j == 7 else 100), f"a{k}") for k in range(6) for j in range(401)]
+    rows += [(9000 + j, "w " * 600, "z") for j in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken = Counter()
+    for r in mixing.mix_documents(docs, weights=(1, 1, 1, 1, 1, 1, 36)).where("shard is not null").select("source", "size").collect():
+        taken[r.source] += r.size
+    assert taken == Counter({f"a{k}": 20_000 for k in range(6)} | {"z": 720_000})
+
+
+def test_remainder_is_filled_until_no_document_fits(spark):
+    rng = np.random.default_rng(5)
+    sizes = np.minimum(1 + rng.lognormal(3, 1.6, 5000).astype(int), 20_000)
+    source = rng.choice(["a", "b", "c", "d"], 5000, p=[0.6, 0.2, 0.15, 0.05])
+    rows = [(k, "w " * int(n), None if x == "d" else str(x)) for k, (n, x) in enumerate(zip(sizes, source, strict=True))]
+    docs = spark.createDataFrame([*rows, (5000, None, "a"), (5001, "", "a")], "doc_id bigint, text string, source string")
+    by = defaultdict(list)
+    for r in mixing.placed_documents(docs).where("size > 0").collect():
+        by[r.source].append(r)
+    assert len(by) == 4
+    for mine in by.values():
+        total, target = mine[0].source_size, mine[0].target
+        gap, again, filled, untaken = target - target // total * total, 0, set(), []
+        for r in sorted(mine, key=lambda r: r.before):
+            if r.size <= gap and r.times < 3:
+                gap -= r.size
+                filled.add(r.doc_id)
+            else:
+                untaken.append(r.size)
+            assert r.again == again and r.times == target // total
+            again += r.size * (r.copies - r.times)
+        assert filled <= {r.doc_id for r in mine if r.copies > r.times}
+        closed = [r.size for r in mine if r.copies > r.times and r.doc_id not in filled]
+        best = min((abs(n - gap) for n in untaken), default=gap)
+        assert [abs(n - gap) for n in closed] == ([best] if best < gap and mine[0].times < 3 else [])
+
+
 def test_language_on_held_out_documents(spark):
     got = run(spark, "op6_language_id")
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
