@@ -34,12 +34,12 @@ SLICE_ROWS = 2_000
 def cut_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, start, length, doc_tokens, ids) of each piece; ids are little-endian unsigned 32-bit numbers.
 
-    A document's ids are those of its whole text and ``end_id``; null and empty texts give the
-    end alone.  Rows that repeat, or have no doc_id, are documents of their own.
+    A document's ids are those of its whole text as the tokenizer file gives them, its added token
+    included, and ``end_id``; null and empty texts give the end alone.  Rows that repeat, or have no doc_id, are documents of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, special=True).encode
         for batch in slices(batches, "_text", 8 << 20):
             flat, begins = encode(batch.column("_text"))
             sizes = np.diff(begins)

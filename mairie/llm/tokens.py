@@ -9,6 +9,7 @@ tokenizer file (``byte_bpe_50k.json``); the rank file beside it holds the same v
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +20,8 @@ from mairie.llm.textbytes import buffer_of, span_hashes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MEMO = 1_500_000
+# The added token of the tokenizer file, which reads the string as this one id wherever it stands.
+SPECIAL = {"<|endoftext|>": 50256}
 
 # Bytes that may follow a space at which a text is cut: all that cannot begin a white-space character.
 _LEAD = np.zeros(256, bool)
@@ -34,13 +37,14 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Encoder:
-    """Encodes string columns; ids of special strings never arise from texts."""
+    """Encodes string columns; ids of special strings arise from texts only with ``special``."""
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, special: bool = False):
+        self.special = SPECIAL if special else {}
         with open(path or public_tokenizers.path(VOCABULARY), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding(
-            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special
         )
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
@@ -59,7 +63,8 @@ class Encoder:
         if ((first == 32) & _LEAD[second] & (np.diff(at) > 1)).all():
             ids = np.array(self.encoding.encode_ordinary(data.tobytes().decode()), np.uint32)
             return ids, np.searchsorted(np.cumsum(self.width[ids]), at, "right")
-        each = [np.array(self.encoding.encode_ordinary(p), np.uint32) for p in pieces.to_pylist()]
+        one = lambda p: [self.special[p]] if p in self.special else self.encoding.encode_ordinary(p)
+        each = [np.array(one(p), np.uint32) for p in pieces.to_pylist()]
         return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +74,13 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(rows), np.int64)
         cut = np.zeros(len(data) + 1, bool)
         cut[:-2] = (data[:-1] == 32) & _LEAD[data[1:]]
-        cut[rows] = True
+        # A special string is a piece of its own; white space before it ends a text there, so it is not cut.
+        spans = [m.span() for s in self.special for m in re.finditer(re.escape(s.encode()), data)]
+        low, high = np.array(spans, np.int64).reshape(-1, 2).T
+        whole = np.searchsorted(rows, low, "right") == np.searchsorted(rows, high - 1, "right")
+        low, high = low[whole], high[whole]
+        cut[low[low > 0] - 1] = False
+        cut[low] = cut[high] = cut[rows] = True
         at = np.flatnonzero(cut)
         pieces = pa.LargeStringArray.from_buffers(
             len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))
@@ -105,11 +116,11 @@ class Encoder:
         return self.encoding.decode([int(i) for i in ids])
 
 
-_encoders: dict[str | None, Encoder] = {}
+_encoders: dict[tuple[str | None, bool], Encoder] = {}
 
 
-def encoder(path: str | None = None) -> Encoder:
-    """One encoder per Python worker and vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str | None = None, special: bool = False) -> Encoder:
+    """One encoder per Python worker, vocabulary file and treatment of special strings."""
+    if (path, special) not in _encoders:
+        _encoders[path, special] = Encoder(path, special)
+    return _encoders[path, special]

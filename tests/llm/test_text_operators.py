@@ -167,6 +167,29 @@ def test_token_ids_are_the_tokenizers(texts):
             assert ids[at[k] : at[k + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_packed_ids_hold_the_added_token(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from mairie.llm.tokens import Encoder
+
+    plain, end = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), "<|endoftext|>"
+    rng = np.random.default_rng(2)
+    parts = [end, end, " ", "  ", "     ", "\n", "\t", "a", " bc", "'s", "<|", "|>", "<|endof", "text|>", "é", "\u3000", "\xa0", "9", "."]
+    some = [f"a {end} b", end, end * 3, f" {end} ", f"x   {end}   y", "<|endof", "text|> b", f"é{end}é", f"{end}x", "", None, f"x b    {end}", " c"]
+    some += ["".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(2000)]
+    tokens = Encoder(special=True)
+    for _ in range(2):  # the second time from the memo
+        ids, at = tokens.encode(pa.array(some))
+        for k, text in enumerate(some):
+            assert ids[at[k] : at[k + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
+    assert tokens.decode([64, 50256]) == f"a{end}"
+    docs = spark.createDataFrame([(1, f"a {end} b")], "doc_id bigint, text string")
+    for rows in (packing.cut_pieces(docs).collect(), packing.pack_documents(docs).collect()):
+        assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows] == [[64, 220, 50256, 275, 0]]
+    assert 50256 not in encoder().encode(pa.array([end]))[0]
+
+
 def test_quota_tree_is_exact():
     quotas = np.array([1000, 1, 0, 37])
     dealt = mixing.split_quotas(quotas, 7, 3)
