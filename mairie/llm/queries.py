@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mairie.llm import chat, language, lines, minhash, mixing, packing, pii, secrets, spans, vectors
+from mairie.llm import chat, extraction, language, lines, manifest, minhash, mixing, negatives, packing, pii, secrets, spans, sql, vectors
 from mairie.llm.common import store, table
 
 
@@ -104,6 +104,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tree = manifest.build(table(spark, sf_dir, "documents"), changed=manifest.lowered_leaf(tampered))
+    checked = manifest.verify(tree, F.coalesce("changed", "leaf"))
+    return checked.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "lang", "place")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_multi_index_near_dedup": op2_multi_index_near_dedup,
@@ -115,7 +133,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_char_cnn_secrets": op8_char_cnn_secrets,
     "op9_line_quality": op9_line_quality,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
+    "op12_merkle_manifest": sql.MERKLE,
+    "op13_hard_negatives": sql.NEGATIVES,
 }
