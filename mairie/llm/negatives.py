@@ -184,6 +184,8 @@ def _streamed(make: Callable[[_Group], Callable], names: list[str]):
                 if keys[2, first] == 0:
                     anchors.append(piece)
                     continue
+                if not anchors:
+                    continue
                 if group is None:
                     group = _Group(pa.Table.from_batches(anchors))
                     work = make(group)

@@ -36,13 +36,13 @@ def _merkle(levels: int = 8, top: int = 3) -> str:
         _nodes("n0", "(select k, place as i, leaf as h from placed)"),
     ]
     parts += [_nodes(f"n{j}", _above(f"n{j - 1}")) for j in range(1, levels)]
-    parts.append(f"subroots as materialized (select k, h as subroot, row_number() over (order by k) - 1 as at from {_above(f'n{levels - 1}')})")
-    parts.append(_nodes("t0", "(select '' as k, at as i, subroot as h from subroots)"))
+    parts.append(f"subroots as materialized (select k, h as subroot, row_number() over (order by k) - 1 as spot from {_above(f'n{levels - 1}')})")
+    parts.append(_nodes("t0", "(select '' as k, spot as i, subroot as h from subroots)"))
     parts += [_nodes(f"t{j}", _above(f"t{j - 1}")) for j in range(1, top)]
     parts.append(f"whole as (select h as root from {_above(f't{top - 1}')})")
-    parts.append("f0 as (select p.*, s.subroot, s.at, changed as acc, '' as proof from placed p join subroots s on s.k = p.k)")
+    parts.append("f0 as (select p.*, s.subroot, s.spot, changed as acc, '' as proof from placed p join subroots s on s.k = p.k)")
     parts += [_folded(f"f{j + 1}", f"f{j}", f"n{j}", f"f.place // {8**j}", "f.k") for j in range(levels)]
-    parts += [_folded(f"f{levels + j + 1}", f"f{levels + j}", f"t{j}", f"f.at // {8**j}", "''") for j in range(top)]
+    parts += [_folded(f"f{levels + j + 1}", f"f{levels + j}", f"t{j}", f"f.spot // {8**j}", "''") for j in range(top)]
     return "with " + ",\n".join(parts) + f"""
 select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, acc as folded_root, acc = root as verified, lang, place
 from f{levels + top}, whole"""
@@ -66,6 +66,6 @@ with rows as (
 select anchor_id, positive_id, cast(row_number() over w as integer) as rank, other as negative_id, positive_score, score as negative_score
 from positives join scored using (anchor_id)
 where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
-qualify row_number() over w <= 10
 window w as (partition by anchor_id, positive_id order by score desc, other)
+qualify row_number() over w <= 10
 """
