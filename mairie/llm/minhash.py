@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mairie.llm.common import components, store
+from mairie.llm.common import components, discard, store
 from mairie.llm.shingles import band_rows, set_rows
+from mairie.session import broadcast_checked
 
 WIDTH = 5
 # 42 bands of 6: a pair with similarity 0.85 shares no band with probability 2e-9, one at 0.8 with 3e-6.
@@ -48,8 +49,12 @@ def _overlaps(percent: int):
 
 
 def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The full sets of the documents in ``ids``, made again from their texts."""
-    wanted = docs.join(ids.distinct(), "doc_id", "left_semi")
+    """The full sets of the documents in ``ids``, made again from their texts in one pass.
+
+    The list of ids is measured: up to the bound of ``broadcast_checked`` it goes to the texts, which
+    then stay where they are; beyond it texts and ids are shuffled once.
+    """
+    wanted = docs.join(broadcast_checked(store(ids.distinct(), "ids")), "doc_id", "left_semi")
     return store(wanted.mapInArrow(set_rows(WIDTH), "doc_id bigint, shingles array<bigint>"), "sets")
 
 
@@ -104,8 +109,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     inside = store(banded.join(shared, "key"), "buckets")  # members of buckets that hold two sets or more
     star = inside.where(F.col("rep") != F.col("centre")).where(_fits("n_shingles", "m", percent))
     star = store(star.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
-    ends = lambda pairs: pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    links = store(_confirmed(star, _sets(ends(star), texts), percent), "links")
+    # One pass over the texts serves both rounds of comparison.
+    sets = _sets(inside.select(F.col("rep").alias("doc_id")), texts)
+    links = first = store(_confirmed(star, sets, percent), "links")
 
     # What the stars leave apart: members of other components in the same bucket.
     found = components(links)
@@ -114,14 +120,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     sizes = part.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"))
-    part = store(part.join(mixed.where("parts > 1").select("key", "main"), "key"), "mixed")
+    part = several = store(part.join(mixed.where("parts > 1").select("key", "main"), "key"), "mixed")
     # A partner of a member is a member too, so shingles that no other member has bound what two can
     # share.  This rules most far copies of a large group out before a pair is made.
-    sets = _sets(part.select(F.col("rep").alias("doc_id")), texts)
+    left = store(part.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    sets_left = sets.join(broadcast_checked(left), "doc_id", "left_semi")
     # A pair meets in every bucket it shares; it is made in the first one only, told by the keys before.
     # A repeated doc_id has the keys of each of its sets.
     bands = members.select(F.col("doc_id").alias("rep"), "set_a", "bands").dropDuplicates(["rep", "set_a"])
-    part = part.join(_common(sets).distinct(), "rep").join(bands, ["rep", "set_a"])
+    part = part.join(_common(sets_left).distinct(), "rep").join(bands, ["rep", "set_a"])
     before = F.greatest(F.array_position("bands", F.col("key")) - 1, F.lit(0))
     earlier = F.slice("bands", F.lit(1), before.cast("int"))
     part = store(part.withColumn("earlier", earlier).drop("bands"), "open")
@@ -134,15 +141,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         & (F.lit(100) * shared >= F.lit(percent) * (F.col("o.n_shingles") + F.col("m.n_shingles") - shared))
     ).select(F.greatest("o.rep", "m.rep").alias("a"), F.least("o.rep", "m.rep").alias("b")).distinct()
     rest = store(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    links = links.union(store(_confirmed(rest, sets, percent), "links"))
+    second = store(_confirmed(rest, sets, percent), "links")
+    links = links.union(second)
 
     found = components(links)
     joined = named.join(classes, key, "left").join(found, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return joined.select(
+    result = joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+    result = store(result, "near")
+    discard(named, classes, inside, star, sets, first, several, left, part, rest, second)
+    return result
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
