@@ -31,8 +31,10 @@ SURE = 0.9
 _WEIGHTS = 1 << 13
 _AROUND = 24  # characters of context on either side of a region
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+# A match always ends with its run of digits, so only the start of a run can start one.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -49,14 +51,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[int, int, str]]:
+    """Leftmost addresses, each told from its @ outwards: the time is linear in the text."""
+    found, end, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            end = domain.end()
+            found.append((start, end, "email"))
+        at = text.find("@", at + 1)
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base patterns, by start and then kind; code points, end exclusive."""
     found = []
     if "@" in text:
-        found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
+        found += _emails(text)
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            parts = [p.lstrip("0") for p in m[0].split(".")]
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 found.append((m.start(), m.end(), "ip"))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
