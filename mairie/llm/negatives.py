@@ -115,6 +115,27 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near].astype(np.int64)))][:k]
 
 
+class _Top:
+    """The ``k`` best (score, id) of every (anchor, rank) over a whole slice."""
+
+    def __init__(self, k: int):
+        self.k, self.kept = k, {}
+
+    def offer(self, anchor: int, rank: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        held = self.kept.get((anchor, rank))
+        if held is not None:
+            if len(held[0]) == self.k:  # sorted, so the last score is what others must reach
+                near = scores >= held[0][-1]
+                scores, ids = scores[near], ids[near]
+            scores, ids = np.concatenate([held[0], scores]), np.concatenate([held[1], ids])
+        if len(scores):
+            best = _best(scores, ids, self.k)
+            self.kept[anchor, rank] = scores[best], ids[best]
+
+    def rows(self) -> list[tuple]:
+        return [(*key, i, s) for key, (scores, ids) in self.kept.items() for s, i in zip(scores.tolist(), ids.tolist(), strict=True)]
+
+
 _NO_ID = np.iinfo(np.int64).max  # rows without an id come last among equal scores
 
 
@@ -122,10 +143,10 @@ def _ids(column) -> np.ndarray:
     return column.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
 
 
-def _positives(group: _Group, k: int) -> Callable[[pa.RecordBatch], Iterator[tuple]]:
+def _positives(group: _Group, top: _Top) -> Callable[[pa.RecordBatch], None]:
     own = _ids(group.rows.column("vec_id").combine_chunks())
 
-    def run(batch: pa.RecordBatch) -> Iterator[tuple]:
+    def run(batch: pa.RecordBatch) -> None:
         labels = np.array(batch.column("label").to_pylist(), object)
         ids = _ids(batch.column("vec_id"))
         x = _matrix(batch.column("x"))
@@ -135,21 +156,20 @@ def _positives(group: _Group, k: int) -> Callable[[pa.RecordBatch], Iterator[tup
                 part = rows[first : first + TILE]
                 scores = group.scores(x[part], label)
                 for column, anchor in enumerate(span):
-                    other = np.flatnonzero(ids[part] != own[anchor])
-                    for at in other[_best(scores[other, column], ids[part[other]], k)]:
-                        yield anchor, 0, ids[part[at]], int(scores[at, column])
+                    other = ids[part] != own[anchor]
+                    top.offer(anchor, 0, scores[other, column], ids[part][other])
 
     return run
 
 
-def _negatives(group: _Group, k: int, low: int, high: int) -> Callable[[pa.RecordBatch], Iterator[tuple]]:
+def _negatives(group: _Group, top: _Top, low: int, high: int) -> Callable[[pa.RecordBatch], None]:
     # low * p <= 100 * n <= high * p, as whole numbers: ceil(low * p / 100) <= n <= floor(high * p / 100).
     wanted = [
         [(rank, -(-low * p // 100), high * p // 100) for rank, p in enumerate(each)]
         for each in group.rows.column("positive_scores").to_pylist()
     ]
 
-    def run(batch: pa.RecordBatch) -> Iterator[tuple]:
+    def run(batch: pa.RecordBatch) -> None:
         number = np.array([group.number.get(v, -1) for v in batch.column("label").to_pylist()])
         own = np.array([group.number[v] for v in group.labels])
         ids = _ids(batch.column("vec_id"))
@@ -161,47 +181,49 @@ def _negatives(group: _Group, k: int, low: int, high: int) -> Callable[[pa.Recor
             for anchor, bounds in enumerate(wanted):
                 mine = scores[anchor]
                 for rank, least, most in bounds:
-                    found = np.flatnonzero((mine >= least) & (mine <= most) & other[anchor])
-                    for at in found[_best(mine[found], near[found], k)] if len(found) else ():
-                        yield anchor, rank, near[at], int(mine[at])
+                    found = (mine >= least) & (mine <= most) & other[anchor]
+                    top.offer(anchor, rank, mine[found], near[found])
 
     return run
 
 
-def _streamed(make: Callable[[_Group], Callable], names: list[str]):
-    """mapInArrow function: rows come by (part, slice), a group's anchors before the slice's candidates."""
+def _streamed(make: Callable[[_Group, _Top], Callable], k: int, names: list[str]):
+    """mapInArrow function: rows come by (part, slice), a group's anchors before the slice's candidates.
+
+    What a slice finds is handed on when it ends: at most ``k`` rows per anchor and rank.
+    """
+
+    def ended(group: _Group | None, top: _Top) -> Iterator[pa.RecordBatch]:
+        found = top.rows()
+        if found:
+            at, rank, ids, scores = (np.array(c, np.int64) for c in zip(*found, strict=True))
+            columns = [group.rows.column("anchor").combine_chunks().take(pa.array(at)), pa.array(rank.astype(np.int32))]
+            columns += [pa.array(ids, mask=ids == _NO_ID), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, anchors, group, work = None, [], None, None
+        key, anchors, group, work, top = None, [], None, None, _Top(k)
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("part", "slice", "kind")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for first, last in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
                 piece = batch.slice(first, last - first)
-                here = tuple(keys[:2, first])
-                if here != key:
-                    key, anchors, group = here, [], None
+                if tuple(keys[:2, first]) != key:
+                    yield from ended(group, top)
+                    key, anchors, group, top = tuple(keys[:2, first]), [], None, _Top(k)
                 if keys[2, first] == 0:
                     anchors.append(piece)
-                    continue
-                if not anchors:
-                    continue
-                if group is None:
-                    group = _Group(pa.Table.from_batches(anchors))
-                    work = make(group)
-                found = list(work(piece))
-                if not found:
-                    continue
-                at, rank, ids, scores = (np.array(c, np.int64) for c in zip(*found, strict=True))
-                # Exact repeats of an anchor are one anchor, so its number names it.
-                columns = [group.rows.column("anchor").combine_chunks().take(pa.array(at))]
-                columns += [pa.array(rank.astype(np.int32)), pa.array(ids, mask=ids == _NO_ID), pa.array(scores)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                elif anchors:
+                    if group is None:
+                        group = _Group(pa.Table.from_batches(anchors))
+                        work = make(group, top)
+                    work(piece)
+        yield from ended(group, top)
 
     return run
 
 
-def _meet(anchors: DataFrame, rows: DataFrame, make: Callable, groups: int, slices: int) -> DataFrame:
+def _meet(anchors: DataFrame, rows: DataFrame, make: Callable, k: int, groups: int, slices: int) -> DataFrame:
     """(anchor, pos, other_id, score): what ``make`` finds when every group of anchors meets every slice."""
     columns = ["part", "slice", "kind", "vec_id", "label", "x", "anchor", "positive_scores"]
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -211,7 +233,7 @@ def _meet(anchors: DataFrame, rows: DataFrame, make: Callable, groups: int, slic
     both = a.withColumn("slice", each(slices)).select(*columns).union(c.select(*columns))
     laid = both.repartition("part", "slice").sortWithinPartitions("part", "slice", "kind")
     names = ["anchor", "pos", "other_id", "score"]
-    return laid.mapInArrow(_streamed(make, names), "anchor bigint, pos int, other_id bigint, score bigint")
+    return laid.mapInArrow(_streamed(make, k, names), "anchor bigint, pos int, other_id bigint, score bigint")
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -256,7 +278,7 @@ def hard_negatives(
     dealt = store(dealt, "candidates")
 
     empty = F.lit(None).cast("array<bigint>")
-    found = _meet(numbers.withColumn("positive_scores", empty), dealt, lambda g: _positives(g, positives), groups, slices)
+    found = _meet(numbers.withColumn("positive_scores", empty), dealt, _positives, positives, groups, slices)
     first = Window.partitionBy("anchor").orderBy(F.desc("score"), F.asc_nulls_last("other_id"))
     kept = found.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= positives)
     # At most ``positives`` rows of an anchor are gathered.
@@ -264,7 +286,7 @@ def hard_negatives(
     chosen = store(kept.groupBy("anchor").agg(listed.alias("chosen")), "positives")
 
     scored = numbers.join(chosen, "anchor").withColumn("positive_scores", F.col("chosen.score"))
-    found = _meet(scored, dealt, lambda g: _negatives(g, negatives, low, high), groups, slices)
+    found = _meet(scored, dealt, lambda g, top: _negatives(g, top, low, high), negatives, groups, slices)
     best = Window.partitionBy("anchor", "pos").orderBy(F.desc("score"), F.asc_nulls_last("other_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives)
     joined = ranked.join(scored.select("anchor", F.col("vec_id").alias("anchor_id"), "chosen"), "anchor")
