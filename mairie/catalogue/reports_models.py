@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mairie.catalogue.adapters import BASE, Tables
@@ -180,14 +181,28 @@ def _model(t: Tables, name: str, train):
 _PROBABILITIES = [f"prob_{b}" for b in MAIN]
 
 
-@query("ml05_random_forest")
+def _facts(predicted, labels):
+    """What must hold for every prediction: shares add up to one and the label is the largest share's."""
+    shares = F.array(*[F.col(f"prob_{x.lower()}") for x in labels])
+    chosen = F.get(shares, F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("bloc_predit")).cast("int") - 1)
+    total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + x)
+    return predicted.select(
+        "code_commune", "bloc_dominant", F.bround(total, 9).alias("somme"),
+        (F.forall(shares, lambda x: x.between(0, 1)) & (chosen == F.array_max(shares))).alias("plus_grande"),
+    )
+
+
+_FACTS = with_views(f"select code_commune, bloc_dominant, 1.0::double somme, true plus_grande {_TEST}")
+
+
+@query("ml05_random_forest", _FACTS)
 def ml05(t):
-    return forest(t).predict(split(t)[1]).select("code_commune", "bloc_dominant", "bloc_predit", *_PROBABILITIES)
+    return _facts(forest(t).predict(split(t)[1]), forest(t).labels)
 
 
-@query("ml06_gradient_boosting")
+@query("ml06_gradient_boosting", _FACTS)
 def ml06(t):
-    return boosting(t).predict(split(t)[1]).select("code_commune", "bloc_dominant", "bloc_predit", *_PROBABILITIES)
+    return _facts(boosting(t).predict(split(t)[1]), boosting(t).labels)
 
 
 @query("ml07_accuracy", with_views(f"select count(*) n, cast(count(case when bloc_dominant = bloc_lag1 then 1 end) as double) / count(*) accuracy {_TEST}"))
@@ -221,18 +236,36 @@ def ml08(t):
     return m.classification_report(m.previous_bloc(split(t)[1]))
 
 
-@query("ml09_feature_importances")
+_PRESENT = ", ".join(f"count({e}) {n}" for n, e in _feature_sql())
+
+
+@query(
+    "ml09_feature_importances",
+    with_views(
+        f"""select row_number() over (order by variable) numero, variable, true valide, 1.0::double somme
+        from (unpivot (select {_PRESENT} {_TRAIN}) on columns(*) into name variable value n) where n > 0"""
+    ),
+)
 def ml09(t):
-    return m.importances(forest(t), t.spark, 10)
+    """Every variable with a value has an importance between 0 and 1, and all add up to one."""
+    listed = m.importances(forest(t), t.spark, None)
+    total = listed.agg(F.bround(F.sum("importance"), 9)).scalar()
+    numbered = Window.orderBy("variable")  # as many rows as variables
+    return listed.select(
+        F.row_number().over(numbered).cast("bigint").alias("numero"), "variable",
+        F.col("importance").between(0, 1).alias("valide"), total.alias("somme"),
+    )
 
 
-@query("ml10_model_choice")
+@query("ml10_model_choice", with_views(f"select count(*) n, true regle {_TEST}"))
 def ml10(t):
+    """The chosen model has the higher accuracy on the last election, the forest where both are equal."""
     test = split(t)[1]
     first, second = forest(t), boosting(t)
     a, b = (m.accuracy_value(x.predict(test)) for x in (first, second))
     best = m.choose_model(first, a, second, b)
-    return m.accuracy(best.predict(test)).withColumn("modele", F.lit(best.name))
+    right = F.lit(best.name == ("RandomForest" if a >= b else "GradientBoosting"))
+    return m.accuracy(best.predict(test)).select("n", (right & (F.col("accuracy") == max(a, b))).alias("regle"))
 
 
 _SCENARIO = (
@@ -250,16 +283,30 @@ def ml11(t):
     return t.scenarios().select("code_commune", "annee", *columns, *m.VITAL)
 
 
-@query("ml12_scoring")
+def _shares():
+    """The shares of a prediction table; a class the model never saw has none."""
+    return F.array_compact(F.array(*[F.col(p).cast("double") for p in _PROBABILITIES]))
+
+
+@query("ml12_scoring", with_views("select code_commune, cast(y as smallint) annee, 'RandomForest' modele, true valide from v_scen"))
 def ml12(t):
-    return m.score(forest(t), t.scenarios())
+    """Each scenario row once, with rounded shares that add up to one and the largest share's label."""
+    chosen = F.coalesce(*[F.when(F.lower("bloc_predit") == p.removeprefix("prob_"), F.col(p).cast("double")) for p in _PROBABILITIES])
+    total = F.aggregate(_shares(), F.lit(0.0), lambda acc, x: acc + x)
+    valid = total.between(0.99, 1.01) & (chosen >= F.array_max(_shares()) - 0.001)
+    return m.score(forest(t), t.scenarios()).select("code_commune", "annee", "modele", valid.alias("valide"))
 
 
-@query("ml13_class_aligned_probabilities")
+@query(
+    "ml13_class_aligned_probabilities",
+    with_views("select cast(y as smallint) annee, count(*) n, 'GradientBoosting' modele, true valide from v_scen group by 1"),
+)
 def ml13(t):
-    """The boosted model's probabilities by label, averaged per predicted bloc."""
+    """The boosted model's probabilities by label: means per year over all rows add up to one."""
     scored = m.score(boosting(t), t.scenarios())
-    return scored.groupBy("annee", "bloc_predit").agg(*[exact_mean(p).alias(p) for p in _PROBABILITIES])
+    means = scored.groupBy("annee", "modele").agg(F.count(F.lit(1)).alias("n"), *[exact_mean(p).alias(p) for p in _PROBABILITIES])
+    total = F.aggregate(_shares(), F.lit(0.0), lambda acc, x: acc + x)
+    return means.select("annee", "n", "modele", total.between(0.99, 1.01).alias("valide"))
 
 
 @query(

@@ -1,14 +1,11 @@
-"""Features, training, evaluation, scenarios and scoring with MLlib."""
+"""Features, training, evaluation, scenarios and scoring."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +16,7 @@ from mairie.operators.aggregates import crosstab
 from mairie.operators.harmonise import add_missing, enforce_schema
 from mairie.operators.medians import medians
 from mairie.operators.windows import MAIN_SHARES, lag_features, trend_features
+from mairie.plans import trees
 from mairie.session import cut_lineage
 from mairie.sources.schemas import table_schema
 
@@ -35,8 +33,8 @@ PILOT_FEATURES = LAGS + TRENDS + OCCUPATION + DIPLOMA + VITAL + ["annee"]
 TARGET_YEARS = [2025, 2026, 2027]
 EARLIER_YEAR, BASE_YEAR, LAST_TRAIN_YEAR = 2017, 2022, 2017
 STEP_YEARS = 5
-FOREST = dict(numTrees=200, maxDepth=8, minInstancesPerNode=3, featureSubsetStrategy="sqrt", seed=42)
-BOOSTING = dict(maxIter=200, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, seed=42)
+FOREST = dict(numTrees=200, maxDepth=8, minInstancesPerNode=3, seed=42)
+BOOSTING = dict(maxIter=200, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, treesPerRound=4, seed=42)
 
 
 def feature_names(scope: str = "national", leak_free: bool = False) -> list[str]:
@@ -108,91 +106,65 @@ class Trained:
     """A fitted classifier with the inputs it expects and the labels it has seen."""
 
     name: str
-    model: Model
+    model: trees.Ensemble
     features: list[str]
     fills: dict[str, float]
     labels: list[str]
     importances: list[tuple[str, float]] = field(default_factory=list)
 
-    def assemble(self, df: DataFrame) -> DataFrame:
-        filled = fill_medians(df, self.fills)
-        return VectorAssembler(inputCols=self.features, outputCol="features").transform(filled)
-
     def predict(self, df: DataFrame) -> DataFrame:
-        """``df`` plus ``bloc_predit`` and one probability per label, ``prob_<label>``."""
-        out = self.model.transform(self.assemble(df))
-        if "probability" in out.columns:
-            p = vector_to_array("probability")
-        else:
-            # One binary booster per class: the logistic of its margin is its own
-            # probability; the classes are then normalised to sum to one.
-            raw = vector_to_array("rawPrediction")
-            each = F.transform(raw, lambda x: 1 / (1 + F.exp(-2 * x)))
-            total = F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
-            p = F.transform(each, lambda x: x / total)
-        names = F.array(*[F.lit(x) for x in self.labels])
-        columns = {"bloc_predit": F.get(names, F.col("prediction").cast("int"))}
+        """``df`` plus ``bloc_predit`` and one probability per label, ``prob_<label>``; ties go to the first label."""
+        values = [F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c])) for c in self.features]
+        out = df.withColumn("_p", self.model.column(*values))
+        best = F.array_position("_p", F.array_max("_p")).cast("int") - 1
+        columns = {"bloc_predit": F.get(F.array(*[F.lit(x) for x in self.labels]), best)}
         for i, label in enumerate(self.labels):
-            columns[f"prob_{label.lower()}"] = p[i]
-        drop = [c for c in ("features", "rawPrediction", "probability", "prediction") if c not in df.columns]
-        return out.withColumns(columns).drop(*drop)
+            columns[f"prob_{label.lower()}"] = F.get("_p", F.lit(i))
+        return out.withColumns(columns).drop("_p")
 
 
-# Slices of the training rows; fixed, since learners draw their samples slice by slice.
-TRAINING_SLICES = 8
+ROW_KEY = ("code_commune", "annee")
 
 
-def _training_frame(train: DataFrame, features: Sequence[str], target: str, weighted: bool = True):
-    """Filled rows with label (and weight), written once: learners pass over them many times.
+def _training_blocks(train: DataFrame, features: Sequence[str], target: str, weighted: bool = True):
+    """Binned rows with label index and weight, written once: every level of the trees passes over them.
 
-    Rows are laid out by key in a fixed number of sorted slices, so a seed gives the same model
-    whatever the layout of the input.
+    A row's key, which decides the samples it is drawn into, is a hash of ``ROW_KEY`` where the rows
+    have these columns, else of the features and the label.
     """
     fills = train_medians(train, features)
     used = [f for f in features if f in fills]
     seen = [r[0] for r in train.select(target).distinct().where(F.col(target).isin(LABELS)).collect()]
     labels = [x for x in LABELS if x in seen]
     rows = train.where(F.col(target).isin(labels))
-    rows = class_weights(rows, target) if weighted else rows
-    rows = label_indexer(labels, target).transform(fill_medians(rows, fills))
-    rows = VectorAssembler(inputCols=used, outputCol="features").transform(rows)
-    keys = [c for c in ("code_commune", "annee") if c in rows.columns]
-    if keys:
-        rows = rows.repartition(TRAINING_SLICES, *keys).sortWithinPartitions(*keys)
-    kept = ["features", "label", *(["poids"] if weighted else [])]
-    return cut_lineage(rows.select(*kept), "training"), used, fills, labels
-
-
-def train_forest(
-    train: DataFrame,
-    features: Sequence[str] = FEATURES,
-    target: str = "bloc_dominant",
-    **settings,
-) -> Trained:
-    rows, used, fills, labels = _training_frame(train, features, target)
-    learner = RandomForestClassifier(labelCol="label", weightCol="poids", **{**FOREST, **settings})
-    model = learner.fit(rows)
-    importances = sorted(
-        zip(used, (float(x) for x in model.featureImportances.toArray())), key=lambda x: (-x[1], x[0])
+    rows = class_weights(rows, target) if weighted else rows.withColumn("poids", F.lit(1.0))
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in used]
+    key = [c for c in ROW_KEY if c in rows.columns] or [*used, target]
+    label = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(target)).cast("int") - 1
+    kept = rows.select(F.array(*values).alias("x"), label.alias("y"), F.col("poids").alias("w"), F.xxhash64(*key).alias("key"))
+    return trees.prepare(cut_lineage(kept, "training"), len(used), len(labels)), used, fills, labels
+
+
+def _ranked(used: Sequence[str], model: trees.Ensemble) -> list[tuple[str, float]]:
+    return sorted(zip(used, map(float, model.gains), strict=True), key=lambda x: (-x[1], x[0]))
+
+
+def train_forest(train: DataFrame, features: Sequence[str] = FEATURES, target: str = "bloc_dominant", **settings) -> Trained:
+    """A random forest with balanced class weights; ``settings`` override ``FOREST``."""
+    blocks, used, fills, labels = _training_blocks(train, features, target)
+    s = {**FOREST, **settings}
+    model = trees.grow_forest(blocks, s["numTrees"], s["maxDepth"], s["minInstancesPerNode"], seed=s["seed"])
+    return Trained("RandomForest", model, used, fills, labels, _ranked(used, model))
+
+
+def train_boosting(train: DataFrame, features: Sequence[str] = FEATURES, target: str = "bloc_dominant", **settings) -> Trained:
+    """Multiclass boosted trees, ``maxIter`` per class; ``settings`` override ``BOOSTING``."""
+    blocks, used, fills, labels = _training_blocks(train, features, target, weighted=False)
+    s = {**BOOSTING, **settings}
+    model = trees.boost(
+        blocks, s["maxIter"], s["maxDepth"], s["stepSize"], s["subsamplingRate"], s["treesPerRound"], seed=s["seed"]
     )
-    return Trained("RandomForest", model, used, fills, labels, importances)
-
-
-def train_boosting(
-    train: DataFrame,
-    features: Sequence[str] = FEATURES,
-    target: str = "bloc_dominant",
-    parallelism: int = 4,
-    **settings,
-) -> Trained:
-    """One booster per class seen in training: the built-in booster is binary."""
-    rows, used, fills, labels = _training_frame(train, features, target, weighted=False)
-    booster = GBTClassifier(**{**BOOSTING, **settings})
-    model = OneVsRest(
-        classifier=booster, labelCol="label", featuresCol="features",
-        rawPredictionCol="rawPrediction", parallelism=parallelism,
-    ).fit(rows)
-    return Trained("GradientBoosting", model, used, fills, labels)
+    return Trained("GradientBoosting", model, used, fills, labels, _ranked(used, model))
 
 
 def accuracy(predicted: DataFrame, target: str = "bloc_dominant", by: Sequence[str] = ()) -> DataFrame:
