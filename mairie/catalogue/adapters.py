@@ -265,9 +265,9 @@ class Tables:
         with ThreadPoolExecutor(len(builders)) as pool:
             list(pool.map(lambda build: build(), builders))
 
-    def build_gold(self) -> DataFrame:
+    def sources(self) -> dict[str, DataFrame]:
         self.store_silver()
-        tables = {
+        return {
             "referentiel_communes": self.referential(),
             "elections": self.elections(),
             "naissances": self.births(),
@@ -276,7 +276,13 @@ class Tables:
             "csp": self.occupations(),
             "diplomes": self.diplomas(),
         }
-        return gold_plan.features_communes(tables, self.typology(), snapshot_year=SNAPSHOT)
+
+    def build_gold(self) -> DataFrame:
+        return gold_plan.features_communes(self.sources(), self.typology(), snapshot_year=SNAPSHOT)
+
+    def unfilled(self) -> DataFrame:
+        """Gold rows with every source, before imputation."""
+        return self.once("unfilled", lambda: gold_plan.join_sources(self.sources(), self.typology(), snapshot_year=SNAPSHOT))
 
     def joined(self) -> DataFrame:
         """Election results with the nullable sources, before imputation."""

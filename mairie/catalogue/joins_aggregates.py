@@ -186,10 +186,10 @@ def agg09(t):
     return df.select("code_commune", "annee", "solde_naturel_median", "gini_median")
 
 
-@query("agg10_impute_medians", with_views("select code_commune, annee, " + ", ".join(f"{c}" for c in IMPUTED[:6]) + " from v_gold2"))
+@query("agg10_impute_medians", with_views("select code_commune, annee, " + ", ".join(IMPUTED) + " from v_gold2"))
 def agg10(t):
-    df = imputation.impute_medians(t.joined(), IMPUTED[:6])
-    return df.select("code_commune", "annee", *IMPUTED[:6])
+    df = imputation.impute_medians(t.unfilled(), IMPUTED)
+    return df.select("code_commune", "annee", *IMPUTED)
 
 
 @query(

@@ -14,7 +14,7 @@ from mairie.operators.ordering import first_rows, union_all
 from mairie.plans import silver
 from mairie.plans.questions import bundle, write_bundle
 from mairie.session import cut_lineage, new_path
-from mairie.sources import delimited, tables
+from mairie.sources import delimited, published, tables
 from mairie.sources.schemas import table_schema
 
 
@@ -95,30 +95,67 @@ def src05(t):
     )
 
 
-@query("src06_full_refresh", "select o_orderstatus, count(*) n from orders where o_orderstatus = 'O' group by 1")
+def _orders(t: Tables):
+    return t.read("orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("prix"))
+
+
+@query("src06_full_refresh", "select o_orderstatus, count(*) n, true refus, count(*) n_apres_refus from orders group by 1")
 def src06(t):
-    path, orders = new_path(t.spark, "src06"), t.read("orders").select("o_orderkey", "o_orderstatus")
-    tables.write_table(orders.where("o_orderstatus = 'F'"), path)
-    stored = tables.write_table(orders.where("o_orderstatus = 'O'"), path)
-    return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    """All orders replace a first load of them; a third load with repeated keys is refused and changes nothing."""
+    path, orders = new_path(t.spark, "src06"), _orders(t)
+    published.refresh(orders.withColumn("prix", F.lit(0.0)), path, ["o_orderstatus"], ["o_orderkey"])
+    stored = published.refresh(orders, path, ["o_orderstatus"], ["o_orderkey"], rules={"prix": F.col("prix") > 0})
+    counted = cut_lineage(stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), "src06")
+    try:
+        published.refresh(orders.union(orders), path, ["o_orderstatus"], ["o_orderkey"])
+        refused = False
+    except published.LoadRefused:
+        refused = True
+    after = published.scan(t.spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_apres_refus"))
+    return counted.withColumn("refus", F.lit(refused)).join(after, "o_orderstatus")
 
 
-@query("src07_append", "select o_orderstatus, count(*) n from orders where o_orderstatus <> 'P' group by 1")
+@query(
+    "src07_append",
+    "select o_orderstatus, count(*) n, cast(sum(o_orderkey) as bigint) cles from orders group by 1",
+)
 def src07(t):
-    path, orders = new_path(t.spark, "src07"), t.read("orders").select("o_orderkey", "o_orderstatus")
-    tables.append_table(orders.where("o_orderstatus = 'F'"), path)
-    stored = tables.append_table(orders.where("o_orderstatus = 'O'"), path)
-    return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    """Files of all statuses arrive one after the other; every append is run twice."""
+    folder, path = new_path(t.spark, "src07-in"), new_path(t.spark, "src07")
+    orders = t.read("orders").select("o_orderkey", "o_orderstatus")
+
+    def read(files):
+        raw = delimited.scan_delimited(t.spark, files)
+        return raw.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus")
+
+    for arrived in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
+        orders.where(arrived).write.mode("append").option("sep", ";").option("header", True).csv(folder)
+        for _ in range(2):
+            stored = published.append_files(t.spark, path, folder, read, ["o_orderstatus"], ["o_orderkey"])
+    return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("cles"))
 
 
 @query(
     "src08_keyed_update",
+    """select o_orderkey, o_orderstatus, case when o_orderstatus = 'F' and o_orderkey % 3 = 0 then o_totalprice * 2 else o_totalprice end prix
+    from orders""",
+)
+def src08(t):
+    """New prices of some orders of one status; the folders of the other statuses are not written again."""
+    path, orders = new_path(t.spark, "src08"), _orders(t)
+    published.refresh(orders, path, ["o_orderstatus"])
+    changed = orders.where("o_orderstatus = 'F' and o_orderkey % 3 = 0")
+    return published.update(t.spark, path, changed.select("o_orderkey", (F.col("prix") * 2).alias("prix")), ["o_orderkey"], "prix")
+
+
+@query(
+    "src08_poverty_update",
     with_views(
         """select code_commune, annee, mediane_revenu_disp, gini,
         case when gini is null then taux_pauvrete else cast(gini * 100 as decimal(6,3)) end taux_pauvrete from v_income"""
     ),
 )
-def src08(t):
+def src08_poverty(t):
     stored = cut_lineage(
         t.income().select("code_commune", "annee", "mediane_revenu_disp", "gini", "taux_pauvrete"), "src08"
     )
@@ -209,11 +246,16 @@ def sch04(t):
     )
 
 
-def wide_income(t: Tables):
+def order_years(t: Tables) -> list[int]:
+    """The years of all orders, a handful, as the header of a wide file names them."""
+    return [r[0] for r in t.read("orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]
+
+
+def wide_income(t: Tables, years):
     """Order values per municipality, one column per measure and year."""
     price = F.col("o_totalprice").cast("decimal(14,2)")
     columns = []
-    for year in (1996, 1998):
+    for year in years:
         own = F.when(F.year("o_orderdate") == year, price)
         for label, c in ((f"REV D5 {year}", F.sum(own)), (f"REV D1 {year}", F.min(own)), (f"REV D9 {year}", F.max(own))):
             columns.append(F.replace(c.cast("string"), F.lit("."), F.lit(",")).alias(label))
@@ -221,19 +263,25 @@ def wide_income(t: Tables):
     return t.read("orders").groupBy(key).agg(*columns)
 
 
-_WIDE = "select lpad(cast(o_custkey % 150 as varchar), 5, '0') code_commune, cast({y} as smallint) annee, cast(sum({p}) as double) med, cast(min({p}) as double) d1, cast(max({p}) as double) d9 from orders group by 1"
+_WIDE = """select code_commune, cast(y as smallint) annee, cast(sum(case when year(o_orderdate) = y then p end) as double) med,
+    cast(min(case when year(o_orderdate) = y then p end) as double) d1, cast(max(case when year(o_orderdate) = y then p end) as double) d9
+    from (select lpad(cast(o_custkey % 150 as varchar), 5, '0') code_commune, o_orderdate, cast(o_totalprice as decimal(14,2)) p from orders),
+    (select distinct year(o_orderdate) y from orders) group by 1, 2"""
 
 
-def _wide_sql(year: int) -> str:
-    return _WIDE.format(y=year, p=f"case when year(o_orderdate) = {year} then cast(o_totalprice as decimal(14,2)) end")
+@query("sch05_find_any_keyword_and_year", f"select code_commune, annee, med, d1 from ({_WIDE})")
+def sch05(t):
+    """The columns that hold a keyword and a year, for every year of the orders."""
+    years = order_years(t)
+    raw = wide_income(t, years)
 
+    def one(year):
+        m = h.find_any_keyword(raw.columns, ["D5", "MED", "MEDI"], str(year))
+        d = h.find_any_keyword(raw.columns, ["D1"], str(year))
+        found = [decimal_comma(h.quoted(m)).alias("med"), decimal_comma(h.quoted(d)).alias("d1")]
+        return raw.select("code_commune", F.lit(year).cast("smallint").alias("annee"), *found)
 
-@query("sch05_find_any_keyword_and_year", f"select code_commune, med m98, d1 d98 from ({_wide_sql(1998)})")
-def sch05(t):
-    raw = wide_income(t)
-    m = h.find_any_keyword(raw.columns, ["D5", "MED", "MEDI"], "1998")
-    d = h.find_any_keyword(raw.columns, ["D1"], "1998")
-    return raw.select("code_commune", decimal_comma(h.quoted(m)).alias("m98"), decimal_comma(h.quoted(d)).alias("d98"))
+    return union_all(*[one(y) for y in years])
 
 
 @query("sch06_find_key_column", with_views("select cast(k as varchar) code, count(*) n from v_income_raw group by 1"))
@@ -272,10 +320,10 @@ def sch08(t):
     "sch09_wide_to_long",
     f"""select code_commune, annee, med mediane_revenu_disp, d1 q1_revenu_disp, d9 q9_revenu_disp, null::double gini,
     null::double taux_pauvrete, null::double mediane_revenu_dec
-    from ({_wide_sql(1996)} union all {_wide_sql(1998)})""",
+    from ({_WIDE})""",
 )
 def sch09(t):
-    return h.wide_to_long(wide_income(t), ["code_commune"])
+    return h.wide_to_long(wide_income(t, order_years(t)), ["code_commune"])
 
 
 @query(
@@ -311,10 +359,11 @@ def sch12(t):
 
 @query(
     "set02_concat_years",
-    f"""select code_commune, annee, med, d1, d9 from ({_wide_sql(1996)} union all {_wide_sql(1998)})""",
+    f"""select code_commune, annee, med, d1, d9 from ({_WIDE})""",
 )
 def set02(t):
-    raw = wide_income(t)
+    years = order_years(t)
+    raw = wide_income(t, years)
 
     def one(year):
         return raw.select(
@@ -322,4 +371,4 @@ def set02(t):
             *[decimal_comma(h.quoted(f"REV {m} {year}")).alias(n) for m, n in (("D5", "med"), ("D1", "d1"), ("D9", "d9"))],
         )
 
-    return union_all(one(1996), one(1998))
+    return union_all(*[one(y) for y in years])

@@ -11,7 +11,7 @@ from mairie.operators import ordering, quality, windows
 from mairie.operators.aggregates import count_by
 from mairie.operators.selection import keep_first
 from mairie.session import new_path
-from mairie.sources import tables
+from mairie.sources import published, tables
 from mairie.sources.schemas import KEYS, LAYERS, REQUIRED
 
 _LAGS = ", ".join(f"pct_{b}_lag1" for b in MAIN)
@@ -147,8 +147,12 @@ def dq04(t):
     ),
 )
 def dq05(t):
-    listed = {
+    """The tables are published below one folder and listed from there, without a scan."""
+    out = new_path(t.spark, "dq05")
+    built = {
         "naissances": t.births(), "deces": t.deaths(), "revenus": t.income(), "elections": t.elections(),
         "features_communes": t.gold(), "predictions": t.predictions(),
     }
-    return quality.table_counts(listed, LAYERS)
+    for name, df in built.items():
+        published.refresh(df, f"{out}/{LAYERS[name]}/{name}", keys=KEYS.get(name, ()))
+    return published.listed(t.spark, out, ["silver", "gold"])

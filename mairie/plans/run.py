@@ -25,7 +25,7 @@ from mairie.plans.questions import BUNDLE_FILTERS, BUNDLES, Report, bundle, writ
 from mairie.session import build_session
 from mairie.sources import tables
 from mairie.sources.delimited import scan_delimited, scan_sheet, with_file_order
-from mairie.sources.schemas import KEYS, LAYERS
+from mairie.sources.schemas import LAYERS
 
 # File or folder of each source inside the bronze folder.
 FILES = {
@@ -85,11 +85,7 @@ def build_gold(spark: SparkSession, out: str, scope: str = "national") -> DataFr
     sources = {name: stored(spark, out, name) for name in SILVER}
     typology = stored(spark, out, "typologie") if scope == "national" else None
     features = gold.features_communes(sources, typology, scope)
-    written = tables.create_table(features, "features_communes", f"{out}/gold/features_communes")
-    doubled = quality.duplicate_keys(written, KEYS["features_communes"]).limit(1).count()
-    if doubled:
-        raise ValueError("features_communes has more than one row for a municipality and year")
-    return written
+    return tables.create_table(features, "features_communes", f"{out}/gold/features_communes")
 
 
 def predict(

@@ -1,4 +1,4 @@
-"""Typed Parquet tables: scan, full refresh, append and keyed update."""
+"""Typed Parquet tables: scan, full refresh and keyed update."""
 
 from __future__ import annotations
 
@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mairie.operators.harmonise import enforce_schema
-from mairie.sources.schemas import PARTITIONS, table_schema
+from mairie.sources import published
+from mairie.sources.schemas import KEYS, PARTITIONS, REQUIRED, table_schema
 
 
 def scan_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | str | None = None
 ) -> DataFrame:
-    """Scan with a column list and a predicate, both pushed into the Parquet reader."""
-    df = spark.read.parquet(path)
+    """Scan of a published table, or of a plain folder, with a column list and a predicate,
+    both pushed into the Parquet reader."""
+    df = published.scan(spark, path) if published.manifest(spark, path) else spark.read.parquet(path)
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df
@@ -41,19 +43,26 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def append_table(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def create_table(df: DataFrame, name: str, path: str, min_rows: int = 0) -> DataFrame:
+    """Publish a table of the catalogue with its declared types, checked before anyone can read it.
 
-
-def create_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Drop and recreate a table of the catalogue with its declared types."""
+    Repeated keys and nulls in required columns refuse the load and leave the published rows as they are.
+    """
     typed = enforce_schema(df, table_schema(name))
-    return write_table(typed, path, PARTITIONS.get(name, ()))
+    return published.refresh(
+        typed, path, PARTITIONS.get(name, ()), KEYS.get(name, ()), REQUIRED.get(name, ()), min_rows=min_rows
+    )
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Drop and recreate the catalogue entry of a written table, for SQL text queries."""
+    """Drop and recreate the catalogue entry of a written table, for SQL text queries.
+
+    The entry of a published table names the data folder that is current now.
+    """
+    found = published.manifest(spark, path)
+    if found and (len(found["parts"]) > 1 or found["parts"][0]["without"]):
+        raise ValueError(f"{path} has several parts: refresh it before it is registered")
+    path = f"{path}/{found['parts'][0]['folder']}" if found else path
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     if spark.sql(f"DESCRIBE {name}").where("col_name = '# Partition Information'").count():

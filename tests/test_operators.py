@@ -187,3 +187,35 @@ def test_correlations(spark, rows):
 def test_crosstab_fills_zero(spark, rows):
     df = spark.createDataFrame([("x", "A"), ("x", "A"), ("y", "B")], "r string, c string")
     assert rows(aggregates.crosstab(df, "r", "c", ["A", "B", "C"])) == [("x", 2, 0, 0), ("y", 0, 1, 0)]
+
+
+def test_medians_of_groups_cut_into_pieces(spark, monkeypatch):
+    """Groups far above the ranked size, with ties, infinities, NaN, null keys and empty columns."""
+    import random
+    import statistics
+
+    from mairie.operators import medians as module
+
+    monkeypatch.setattr(module, "PIVOTS", 7)
+    rng = random.Random(2)
+    data = []
+    for key, n in (("a", 999), ("b", 1000), (None, 640), ("c", 1), ("d", 2), ("e", 0)):
+        for i in range(n):
+            tie = 5.0 if rng.random() < 0.4 else float(rng.randint(-3, 9))
+            data.append((key, rng.gauss(0, 1e6), tie, [float("inf"), float("-inf"), 1.0][i % 3], None))
+    data.append(("e", None, None, None, None))
+    df = spark.createDataFrame(data, "k string, x double, ties double, far double, none double").repartition(5)
+    for ranked in (1, 10, 200_000):
+        got = {r["k"]: r for r in module.medians(df, ["x", "ties", "far", "none"], ["k"], ranked).collect()}
+        assert set(got) == {"a", "b", None, "c", "d", "e"}
+        for key, r in got.items():
+            for j, name in enumerate(["x", "ties", "far", "none"], start=1):
+                values = sorted(d[j] for d in data if d[0] == key and d[j] is not None)
+                middle = [values[(len(values) - 1) // 2], values[len(values) // 2]] if values else []
+                want = middle[0] * 0.5 + middle[1] * 0.5 if middle else None
+                assert r[name] == want or (want != want and r[name] != r[name]), (ranked, key, name)
+    whole = module.medians(df, ["x"], (), 25).first()["x"]
+    assert whole == statistics.median_low([d[1] for d in data if d[1] is not None]) * 0.5 + statistics.median_high([d[1] for d in data if d[1] is not None]) * 0.5
+    nan = spark.createDataFrame([(float("nan"),)] * 30 + [(1.0,)] * 10, "v double")
+    assert module.medians(nan, ["v"], (), 3).first()["v"] != module.medians(nan, ["v"], (), 3).first()["v"]
+    assert module.medians(df.limit(0), ["x"], ["k"]).count() == 0 and module.medians(df.limit(0), ["x"]).first()["x"] is None
