@@ -28,6 +28,7 @@ from mairie.session import broadcast_checked
 
 CURRENT = "_current.json"
 FILE_BYTES = 128 * 1024 * 1024
+SPARE_FILES = 16  # small files that a partition may have beyond those its bytes need
 
 
 class LoadRefused(ValueError):
@@ -73,16 +74,13 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def list_files(spark: SparkSession, folder: str) -> dict[str, tuple[int, int]]:
-    """Path -> (bytes, time of change) of every visible file below ``folder``, or of the file it names."""
-    _, where, fs = _fs(spark, folder)
-    found, entries = {}, fs.listFiles(where, True)
-    while entries.hasNext():
-        entry = entries.next()
-        path = entry.getPath().toString()
-        # Names that Spark's own readers leave out.
-        if not entry.getPath().getName().startswith(("_", ".")):
-            found[path] = (entry.getLen(), entry.getModificationTime())
-    return found
+    """Path -> (bytes, time of change) of every visible file below ``folder``, or of the file it names.
+
+    Spark lists large folders in tasks; the files' content is not read.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    rows = found.select("path", "length", F.unix_millis("modificationTime").alias("changed")).collect()
+    return {r["path"]: (r["length"], r["changed"]) for r in rows}
 
 
 # ---- manifest
@@ -150,34 +148,45 @@ def write_folder(df: DataFrame, folder: str, partition_by: Sequence[str] = (), f
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)
     if partition_by:
-        join_small_files(df.sparkSession, folder, file_bytes)
+        kept = [f for f in df.schema.fields if f.name not in partition_by]
+        join_small_files(df.sparkSession, folder, T.StructType(kept), file_bytes)
 
 
-def join_small_files(spark: SparkSession, folder: str, file_bytes: int = FILE_BYTES, parallel: int = 8) -> int:
-    """Rewrite, folder by folder, the files under half of ``file_bytes`` where fewer would hold them.
+def join_small_files(
+    spark: SparkSession, folder: str, schema: T.StructType, file_bytes: int = FILE_BYTES, parallel: int = 16
+) -> int:
+    """Rewrite, folder by folder, the files under half of ``file_bytes`` where ``SPARE_FILES`` or more are too many.
 
-    Files of a good size are not touched, so what is rewritten stays small however large the table is.
-    Returns the number of folders rewritten.  For folders that nobody reads yet.
+    A folder ends with at most its bytes / half of ``file_bytes`` + ``SPARE_FILES`` + 1 files.  Files of a good size are not touched, so what is rewritten stays small however large the table is.
+    Returns the number of folders rewritten.  For folders that nobody reads yet; ``schema`` is that of the files.
     """
     small: dict[str, list[str]] = {}
     sizes: dict[str, int] = {}
+    large: set[str] = set()
     for path, (length, _) in list_files(spark, folder).items():
+        parent = path.rsplit("/", 1)[0]
         if length < file_bytes / 2:
-            parent = path.rsplit("/", 1)[0]
             small.setdefault(parent, []).append(path)
             sizes[parent] = sizes.get(parent, 0) + length
-    work = [(parent, paths, -(-sizes[parent] // file_bytes)) for parent, paths in small.items() if len(paths) > -(-sizes[parent] // file_bytes)]
+        else:
+            large.add(parent)
+    work = [(parent, paths, -(-sizes[parent] // file_bytes)) for parent, paths in small.items() if len(paths) > SPARE_FILES - (-sizes[parent] // file_bytes)]
+    hadoop, _, fs = _fs(spark, folder)
 
     def rewrite(job) -> None:
         parent, paths, files = job
         beside = f"{folder}-joined-{uuid.uuid4().hex}"
-        spark.read.parquet(*paths).coalesce(int(files)).write.parquet(beside)
-        hadoop, target, fs = _fs(spark, parent)
+        spark.read.schema(schema).parquet(*paths).coalesce(int(files)).write.parquet(beside)
+        source, target = hadoop.Path(beside), hadoop.Path(parent)
+        if parent not in large:  # every file is joined: the folder itself is replaced
+            fs.delete(target, True)
+            fs.rename(source, target)
+            return
         for path in list_files(spark, beside):
             fs.rename(hadoop.Path(path), target)
         for path in paths:
             fs.delete(hadoop.Path(path), False)
-        delete(spark, beside)
+        fs.delete(source, True)
 
     if work:
         with ThreadPoolExecutor(parallel) as pool:

@@ -67,7 +67,17 @@ def test_partitions_are_pruned_and_nothing_is_shuffled(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(kind" in plan and "Exchange" not in plan
 
 
-def test_small_files_are_joined_and_others_left(spark, tmp_path, rows):
+def test_few_small_files_stay(spark, tmp_path):
+    root = str(tmp_path / "t")
+    p.refresh(table(spark, DATA * 20).repartition(3), root, BY)
+    assert len(files(root)) > 4
+    p.refresh(table(spark, DATA * 400).repartition(40), root, BY)
+    p.vacuum(spark, root)
+    assert len(files(root)) <= 4 * (p.SPARE_FILES + 1)
+
+
+def test_small_files_are_joined_and_others_left(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(p, "SPARE_FILES", 0)
     rows_ = spark.range(40_000).selectExpr("cast(id as string) k", "if(id % 4 = 0, 'pres', 'legi') kind", "cast(2000 + id % 2 as smallint) year", "cast(xxhash64(id) % 100000 as int) v")
     spread, root = rows_.repartition(12), str(tmp_path / "t")
     size = 100_000
@@ -80,7 +90,7 @@ def test_small_files_are_joined_and_others_left(spark, tmp_path, rows):
     assert rows(stored.groupBy("kind", "year").agg(F.count("k"), F.sum("v"))) == rows(rows_.groupBy("kind", "year").agg(F.count("k"), F.sum("v")))
     assert [d for d in os.listdir(root) if "joined" in d] == []
     before = files(root)
-    assert p.join_small_files(spark, root, 2_000) == 0 and files(root) == before
+    assert p.join_small_files(spark, root, rows_.select("k", "v").schema, 2_000) == 0 and files(root) == before
 
 
 def write(path, lines):

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from mairie.operators import harmonise as h
 from mairie.plans import silver
@@ -169,3 +170,21 @@ def test_shared_folder_choice():
     assert shared_dir(local) == shared_dir(local)
     with pytest.raises(RuntimeError):
         shared_dir(_Session("yarn"))
+
+
+def test_every_catalogue_table_is_checked_before_it_is_published(spark, tmp_path):
+    from mairie.sources import published
+    from mairie.sources.schemas import KEYS, REQUIRED
+
+    assert len(KEYS) == 8
+    for name in {*KEYS, *REQUIRED}:
+        schema, path = table_schema(name), str(tmp_path / name)
+        values = [F.lit("x" if f.dataType.simpleString() == "string" else 1).cast(f.dataType).alias(f.name) for f in schema]
+        one = spark.range(1).select(*values)
+        assert tables.create_table(one, name, path).count() == 1
+        wrong = [one.union(one)] if name in KEYS else []
+        wrong += [one.withColumn(c, F.lit(None).cast(schema[c].dataType)) for c in REQUIRED.get(name, ())]
+        for df in wrong:
+            with pytest.raises(published.LoadRefused):
+                tables.create_table(df, name, path)
+            assert tables.scan_table(spark, path).count() == 1
