@@ -82,7 +82,7 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     # Copies of one document lie in several shards; rows of a document share all but copy, shard and position.
     return mixed.groupBy("doc_id", "size", "source_size", "target").agg(
-        F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("size"))), F.lit(0)).alias("taken")
+        F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("size"))), F.lit(0)).alias("taken"),
     )
 
 
@@ -139,6 +139,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
+    "op2_multi_index_near_dedup": sql.NEAR_VECTORS,
+    "op3_repeated_spans": sql.REPEATED_SPANS,
+    "op9_line_quality": sql.LINE_QUALITY,
+    "op10_minhash_near_dedup": sql.NEAR_DOCUMENTS,
     "op12_merkle_manifest": sql.MERKLE,
     "op13_hard_negatives": sql.NEGATIVES,
 }

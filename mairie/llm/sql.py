@@ -69,3 +69,98 @@ where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * po
 window w as (partition by anchor_id, positive_id order by score desc, other)
 qualify row_number() over w <= 10
 """
+
+
+def _words(text: str) -> str:
+    return rf"list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def _runs(words: str, width: int) -> str:
+    """All runs of ``width`` words, in order; words hold no blank, so a blank joins them reversibly."""
+    return f"list_transform(range(1, len({words}) - {width - 2}), lambda i: array_to_string({words}[i:i + {width - 1}], ' '))"
+
+
+# The smallest id reachable over links (a, b), which hold both directions.
+_REACHED = """reached(a, b) as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a),
+smallest as (select a, min(b) as c from reached group by a)"""
+
+NEAR_VECTORS = f"""
+with recursive v as materialized (
+  select row_number() over () as r, vec_id, label, embedding::double[] as x from embeddings
+), good as materialized (
+  select * from v where vec_id is not null and label is not null and x is not null
+    and len(list_filter(x, lambda e: e is null or not isfinite(e))) = 0 and len(list_filter(x, lambda e: e <> 0)) > 0
+), pairs as materialized (
+  select p.r, p.vec_id as a, q.vec_id as b from good p join good q on p.label = q.label and p.r <> q.r
+  where len(p.x) = len(q.x) and list_cosine_similarity(p.x, q.x) >= 0.98
+), links as materialized (select distinct a, b from pairs),
+{_REACHED}
+select vec_id, (select count(*) from pairs where pairs.r = v.r) as n_links, least(vec_id, coalesce(c, vec_id)) as component_id,
+  vec_id = least(vec_id, coalesce(c, vec_id)) as kept
+from v left join smallest on a = vec_id
+"""
+
+REPEATED_SPANS = f"""
+with d as materialized (select doc_id, {_words('text')} as w from documents),
+runs as materialized (
+  select doc_id, unnest({_runs('w', 13)}) as s, unnest(range(1, len(w) - 11)) as i from d
+), firsts as (select s, min(doc_id) as f from runs group by s),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 13)) as i from runs join firsts using (s) where f < doc_id
+), word as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from d),
+kept as (select doc_id, count(*) as n, string_agg(x, ' ' order by i) as t from word anti join gone using (doc_id, i) group by doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
+NEAR_DOCUMENTS = f"""
+with recursive d as materialized (
+  select doc_id, {_words("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents
+), sets as materialized (
+  select doc_id, list_distinct(case when len(w) between 1 and 4 then [array_to_string(w, ' ')] else {_runs('w', 5)} end) as s from d
+), each_one as materialized (select doc_id, len(s) as n, unnest(s) as s from sets),
+links as materialized (
+  select p.doc_id as a, q.doc_id as b from each_one p join each_one q on p.s = q.s and p.doc_id <> q.doc_id
+  group by p.doc_id, q.doc_id, p.n, q.n having 100 * count(*) >= 85 * (p.n + q.n - count(*))
+),
+{_REACHED}
+select doc_id, len(s) as n_shingles, least(doc_id, coalesce(c, doc_id)) as component_id,
+  doc_id = least(doc_id, coalesce(c, doc_id)) as kept
+from sets left join smallest on a = doc_id
+"""
+
+# Counts of one text, then lines of more than 5 % of a host's distinct texts and more than 20 of them.
+LINE_QUALITY = rf"""
+with d as materialized (
+  select row_number() over () as r, doc_id, source, coalesce(text, '') as t, {_words('text')} as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from documents
+), runs as materialized (select r, unnest({_runs('w', 5)}) as s, unnest(range(1, len(w) - 3)) as i from d),
+again as (select r, s from runs group by r, s having count(*) > 1),
+covered as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 5)) as p from runs semi join again using (r, s)) group by r),
+judged as materialized (
+  select d.r, doc_id, source, t, l, len(w) as n_words, cast(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+    cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
+    len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
+    len(w) < 10 or 100 * coalesce(n, 0) > 20 * len(w) as base_failed
+  from d left join covered using (r)
+), line as materialized (
+  select r, doc_id, source, t, trim(regexp_replace(regexp_replace(lower(x), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as s,
+    len({_words('x')}) as n
+  from (select r, doc_id, source, t, unnest(l) as x from judged)
+), hosts as (select source, count(distinct t) as docs from judged group by source),
+often as (
+  select c.source, s, first_doc
+  from (select source, s, count(distinct t) as n, min(doc_id) as first_doc from line group by source, s) c
+    join hosts h on c.source is not distinct from h.source
+  where n > 20 and n > cast(0.05 as double) * docs
+), lost as (
+  select r, cast(sum(n) as bigint) as n from line join often
+    on line.source is not distinct from often.source and line.s = often.s and line.doc_id is distinct from first_doc
+  group by r
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not (coalesce(n, 0) > 0 and n_words - coalesce(n, 0) <= cast(0.1 as double) * n_words) as kept,
+  coalesce(n, 0) as n_removed_words
+from judged left join lost using (r)
+"""
