@@ -18,15 +18,17 @@ from math import gcd
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mairie.llm.common import store
+from mairie.llm.common import discard, store
 from mairie.llm.textbytes import buffer_of, slices, word_spans
+from mairie.session import broadcast_checked
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SLICE_ROWS = 2_000
+SUBTREES = 256  # of the splitting tree, drawn in tasks
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,25 +67,57 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
     return found.select("source", "source_size", "weight", target.cast("double").alias("target"))
 
 
-def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """(shards, sources) block counts: a random deal of all blocks, made by a splitting tree.
+def _split(node: tuple[int, int, np.ndarray], seed: int, stop: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The nodes (low, high, blocks by source) of at most ``stop`` shards below ``node``, in order of their shards.
 
-    ``quotas`` holds each source's exact number of blocks.  A node with s shards and n blocks gives
-    its left half floor(n * (s // 2) / s) blocks, drawn without replacement over the sources.
+    A node's draw follows from the seed and its bounds only, so it does not matter where it is made.
     """
-    out = np.zeros((shards, len(quotas)), np.int64)
-    todo = [(0, shards, np.asarray(quotas, np.int64))]
+    todo = [node]
     while todo:
         low, high, here = todo.pop()
-        if high - low == 1:
-            out[low] = here
+        if high - low <= stop:
+            yield low, high, here
             continue
         middle = (low + high) // 2
         left = int(here.sum()) * (middle - low) // (high - low)
         rng = np.random.default_rng([seed, low, high])
         taken = rng.multivariate_hypergeometric(here, left, method="marginals") if len(here) else here
-        todo += [(low, middle, taken), (middle, high, here - taken)]
-    return out
+        todo += [(middle, high, here - taken), (low, middle, taken)]
+
+
+def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
+    """(shards, sources) block counts: a random deal of all blocks, made by a splitting tree.
+
+    ``quotas`` holds each source's exact number of blocks.  A node with s shards and n blocks gives
+    its left half floor(n * (s // 2) / s) blocks, drawn without replacement over the sources.
+    """
+    return np.array([here for _, _, here in _split((0, shards, np.asarray(quotas, np.int64)), seed, 1)], np.int64).reshape(shards, -1)
+
+
+def block_shards(spark: SparkSession, quotas: list[int], shards: int, seed: int) -> DataFrame:
+    """(source_no, rank, shard): the shard that each rank of each source's permuted blocks is dealt to.
+
+    The driver draws the top of the tree, at most ``2 * SUBTREES`` nodes whatever the number of shards; the
+    subtrees are drawn in tasks.  A shard gets a run of ranks of each source, after those of the shards before it.
+    """
+    top, done = [], np.zeros(len(quotas), np.int64)
+    for low, high, here in _split((0, shards, np.array(quotas, np.int64)), seed, -(-shards // SUBTREES)):
+        top.append((low, high, here.tolist(), done.tolist()))
+        done = done + here
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node in batch.to_pylist():
+                before = np.array(node["before"], np.int64)
+                for low, _, here in _split((node["low"], node["high"], np.array(node["blocks"], np.int64)), seed, 1):
+                    mine = np.flatnonzero(here)
+                    columns = [mine, before[mine], before[mine] + here[mine] - 1, np.full(len(mine), low)]
+                    before = before + here
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["source_no", "first", "last", "shard"])
+
+    nodes = spark.createDataFrame(top, "low bigint, high bigint, blocks array<bigint>, before array<bigint>")
+    runs = nodes.repartition(min(len(top), SUBTREES)).mapInArrow(run, "source_no bigint, first bigint, last bigint, shard bigint")
+    return runs.select("source_no", F.explode(F.sequence("first", "last")).alias("rank"), "shard")
 
 
 def _content():
@@ -96,7 +130,7 @@ def sized_documents(docs: DataFrame, seed: int, source: str = "source") -> DataF
     sized = docs.select("doc_id", F.col(source).cast("string").alias("source"), _content().alias("content"), text).mapInArrow(
         _sizes, "doc_id bigint, source string, content bigint, size bigint"
     )
-    return sized.withColumn("place", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), "size"))
+    return sized.withColumn("place", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), "size", "content"))
 
 
 def _running(rows: DataFrame, value, name: str, order: list[str], most: str | None = None) -> DataFrame:
@@ -159,7 +193,9 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
 
     All documents are taken ``floor(target / size)`` times; each one of the order that fits what is left of
     the remainder is taken once more, until none fits, and so is the one whose size closes the last gap
-    best.  ``again`` is the number of words before a document among those taken once more.
+    best.  ``again`` is the number of words before a document among those taken once more.  Texts without
+    words, null and empty ones among them, have no copies; a null source is one of its own; rows that repeat
+    are documents of their own; an empty table gives an empty one.  The result is stored.
     """
     sized = store(sized_documents(docs, seed), "sized")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -179,7 +215,7 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("times") * F.col("source_size")
     rows = rows.withColumn("times", times.cast("bigint")).withColumn("rest", rest)
-    rows = store(rows, "ordered")
+    rows = ordered = store(rows, "ordered")
     steps = _fill(rows.where(F.col("times") < most))
     taken = lambda x: (F.col("before") >= x["low"]) & (F.col("before") < x["high"]) & (F.col("size") <= x["cap"])
     more = F.coalesce(F.exists("steps", taken), F.lit(False)) & (F.col("size") > 0)
@@ -195,11 +231,15 @@ def placed_documents(docs: DataFrame, seed: int = 7, weights=WEIGHTS, most: int
     closing = closing.select(F.col("source").alias("_s"), F.col("best.name").alias("_best"))
     rows = rows.join(closing, F.col("source").eqNullSafe(F.col("_s")), "left")
     last = F.coalesce(name == F.col("_best"), F.lit(False)) & (F.col("more") == 0)
-    rows = store(rows.withColumn("more", F.col("more") + last.cast("bigint")).drop("_s", "_best"), "filled")
-    rows = _running(rows, F.col("size") * F.col("more"), "again", ["before"])
-    return rows.withColumn("copies", F.col("times") + F.col("more")).select(
+    filled = store(rows.withColumn("more", F.col("more") + last.cast("bigint")).drop("_s", "_best"), "filled")
+    rows = _running(filled, F.col("size") * F.col("more"), "again", ["before", "size"])
+    copies = F.when(F.col("size") > 0, F.col("times") + F.col("more")).otherwise(0)
+    placed = rows.withColumn("copies", copies).select(
         "doc_id", "source", "content", "size", "place", "source_size", "target", "before", "copies", "times", "again"
     )
+    placed = store(placed, "placed")
+    discard(sized, sources, ordered, filled)
+    return placed
 
 
 def mix_documents(
@@ -210,54 +250,58 @@ def mix_documents(
     Columns: doc_id, source, content (a hash of the text), size, source_size, target, copy, shard,
     position (the order in the shard, from 0).  Null source is a source of its own; null and empty texts have size 0 and are
     never taken, nor do they count.  Rows that repeat are each taken on their own.  Reruns agree.
-    The driver holds block counts by shard and source only: (all words / shard_words) * sources numbers.
+    The driver holds the block counts of each source at the top of the splitting tree.
     """
-    placed = store(placed_documents(docs, seed, weights, most), "placed")
-    copies = placed.withColumn(
-        "copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
-    )
+    placed = placed_documents(docs, seed, weights, most)
+    copies = placed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     # The last pass holds the documents taken once more only, so no block of it is empty.
     start = F.col("copy") * F.col("source_size") + F.when(F.col("copy") < F.col("times"), F.col("before")).otherwise(F.col("again"))
     copies = copies.withColumn("block", F.floor(start / block_words).cast("bigint"))
-    found = copies.where("copy is not null").groupBy("source").agg((F.max("block") + 1).alias("blocks"), F.sum("size").alias("words"))
+    found = copies.groupBy("source").agg((F.max("block") + 1).alias("blocks"), F.sum("size").alias("words"))
     quotas = found.orderBy(F.col("source").isNull(), "source").collect()
     shards = max(1, -(-sum(r.words for r in quotas) // shard_words))
-    dealt = split_quotas(np.array([r.blocks for r in quotas], np.int64), shards, seed)
-    ends = np.cumsum(dealt, axis=0)
     rules = []
     for k, r in enumerate(quotas):
+        # A bijection of a source's blocks: block b has rank (b * step + shift) mod q.
         step = next(a for a in range(int(r.blocks * 0.6180339887) + 1, 2 * r.blocks + 2) if gcd(a, r.blocks) == 1)
-        rules.append((r.source, int(r.blocks), step, (seed * 7919) % r.blocks, [int(x) for x in ends[:, k]]))
-    spark = docs.sparkSession
-    rules = spark.createDataFrame(rules, "_s string, q bigint, step bigint, shift bigint, ends array<bigint>")
-    # A bijection of a source's blocks: block b has rank (b * step + shift) mod q.
-    blocks = rules.select("_s", "q", "step", "shift", "ends", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("q") - 1)).alias("_b"))
-    rank = (F.col("_b") * F.col("step") + F.col("shift")) % F.col("q")
-    blocks = blocks.withColumn("rank", rank).withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("rank"))))
-    blocks = blocks.select("_s", "_b", "shard")
-    joined = copies.join(blocks, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")), "left")
-    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "place", "copy"), "doc_id", "copy", "size")
-    position = F.when(F.col("shard").isNotNull(), F.row_number().over(local) - 1)
-    taken = joined.where("shard is not null").withColumn("position", position)
+        rules.append((r.source, k, int(r.blocks), step, (seed * 7919) % r.blocks))
+    rules = docs.sparkSession.createDataFrame(rules, "_s string, source_no bigint, q bigint, step bigint, shift bigint")
+    copies = copies.join(rules, F.col("source").eqNullSafe(F.col("_s")))
+    copies = copies.withColumn("rank", (F.col("block") * F.col("step") + F.col("shift")) % F.col("q"))
+    taken = copies.join(block_shards(docs.sparkSession, [r.blocks for r in quotas], shards, seed), ["source_no", "rank"])
+    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "place", "copy"), "doc_id", "copy", "size", "content")
     out = ["doc_id", "source", "content", "size", "source_size", "target", "copy", "shard", "position"]
-    return taken.select(*out).union(
-        joined.where("shard is null").withColumn("position", F.lit(None).cast("int")).select(*out)
-    )
+    none = {"copy": F.lit(None).cast("int"), "shard": F.lit(None).cast("bigint"), "position": F.lit(None).cast("int")}
+    taken = taken.withColumn("position", F.row_number().over(local) - 1).select(*out)
+    return taken.union(placed.where("copies = 0").withColumns(none).select(*out))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each taken document's row as often as it is taken, with the columns of ``docs``.
 
-    Rows that share a doc_id and a text share the copies taken of them evenly.  Whole rows are
-    shuffled once: the join leaves equal rows side by side, which is the order their ranks need.
+    Rows are laid out as the mix deals them: a shard's rows stand together, in the shard's shuffled order.
+    Rows that share a doc_id and a text share the copies taken of them evenly.  Nulls, rows without words
+    and empty tables are as in ``mix_documents``; no column but doc_id, text and source is read.
     """
-    taken = mix_documents(docs, **options).where("shard is not null")
     key = [F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n")]
-    taken = taken.groupBy(*key, F.col("content").alias("_c")).agg(F.count(F.lit(1)).alias("_taken"))
-    same = Window.partitionBy("_d", "_n", "_c")
-    rows = docs.select(*docs.columns, *key, _content().alias("_c")).join(taken.hint("merge"), ["_d", "_n", "_c"])
-    rank, among = F.row_number().over(same.orderBy("_d", "_n", "_c")), F.count(F.lit(1)).over(same)
-    rows = rows.withColumn("_rank", rank).withColumn("_among", among)
-    share = F.floor(F.col("_taken") / F.col("_among")) + (F.col("_rank") <= F.col("_taken") % F.col("_among")).cast("int")
-    rows = rows.withColumn("_copies", share.cast("int")).where("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    names = ["_d", "_n", "_c"]
+    mixed = store(
+        mix_documents(docs, **options).select(
+            *key, F.col("content").alias("_c"), "copy", F.col("shard").alias("_shard"), F.col("position").alias("_position")
+        ),
+        "mixed",
+    )
+    first = F.when(F.coalesce("copy", F.lit(0)) == 0, 1)  # one such row for each row of ``docs``
+    repeated = store(mixed.groupBy(*names).agg(F.count(first).alias("_among")).where("_among > 1"), "repeated")
+    taken = mixed.where("_shard is not null").drop("copy")
+    rows = docs.select(*docs.columns, *key, _content().alias("_c"))
+    single = rows.join(taken.join(repeated, names, "left_anti"), names).drop(*names)
+    # Only rows that share id and text need ranks to tell who gets which copy.
+    same = Window.partitionBy(*names)
+    copies = taken.join(repeated, names).withColumn("_k", F.row_number().over(same.orderBy("_shard", "_position")) - 1)
+    copies = copies.withColumn("_rank", (F.col("_k") % F.col("_among")).cast("int")).drop("_k", "_among")
+    several = rows.join(broadcast_checked(repeated.drop("_among")), names, "left_semi")
+    several = several.withColumn("_rank", F.row_number().over(same.orderBy(*names)) - 1)
+    several = several.join(copies, [*names, "_rank"]).drop(*names, "_rank")
+    laid = single.union(several.select(*single.columns))
+    return laid.repartition("_shard").sortWithinPartitions("_shard", "_position").select(*docs.columns)
