@@ -159,7 +159,11 @@ def judge_documents(
 
 
 def clean_documents(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` without rejected documents and, in the others, without removed lines (n_chars follows the text)."""
+    """``docs`` without rejected documents and, in the others, without removed lines (n_chars follows the text).
+
+    Null and empty texts have no words and are rejected.  Rows that repeat, or have no doc_id, stay or go
+    each by the verdict on its own text; an empty table gives an empty one.
+    """
     verdicts = judge_documents(docs, **limits).select(
         F.col("doc_id").alias("_d"), F.col("_host").alias("_h"), "_content", "_removed", "kept"
     ).where("kept").distinct()

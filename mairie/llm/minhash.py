@@ -157,6 +157,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates; rows without doc_id stay."""
+    """``docs`` with one document of each group of near-duplicates.
+
+    Rows without doc_id and those with null or empty text stay.  Rows that repeat a doc_id are one node:
+    they stay or go together, so copies under one id all stay where that id does.  An empty table gives an empty one.
+    """
     dropped = near_duplicates(docs, percent).where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -164,8 +164,10 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """``pieces`` with sequence_id and offset; any columns beside ``length`` come along.
 
     ``pieces`` should be stored: it is read for the histogram, for ranks and for the result.
-    Lengths run from 1 to ``window``.  Which of several equal pieces takes which place follows
-    from a hash of its columns, so reruns over the same rows agree.
+    Lengths run from 1 to ``window``.  Which of several equally long pieces takes which place follows
+    from a hash of their columns, so reruns over the same rows agree; pieces that are equal in all columns
+    may change places.  Null columns are as any other value; an empty table gives an empty one.  Long
+    columns, such as ids, should be left out and joined afterwards.
     """
     spark = pieces.sparkSession
     bin_of = F.ceil(F.col("length") / GRAIN).cast("int")
@@ -176,7 +178,7 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
     slots = spark.createDataFrame(_slots(plan), "_bin int, _first bigint, _last bigint, _sequence bigint, _slot int")
 
-    keys = [c for c in ("doc_id", "start", "length") if c in pieces.columns]
+    keys = pieces.columns  # all of them, so pieces without doc_id or of a repeated one are spread as well
     ranked = pieces.withColumn("_b", bin_of).withColumn("_h", F.xxhash64(*keys))
     ranked = ranked.withColumn("_k", F.pmod("_h", F.lit(max(1, -(-total // SLICE_ROWS)))))
     counts = ranked.groupBy("_b", "_k").agg(F.count(F.lit(1)).alias("_n"))
@@ -199,10 +201,13 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """(sequence_id, ids) of whole sequences, pieces in place; a group holds one window at most."""
+    """(sequence_id, ids) of whole sequences, pieces in place; a group holds one window at most.
+
+    Null ids add nothing; repeated rows are added as often as they stand there; an empty table gives an empty one.
+    """
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     joined = packed.groupBy("sequence_id").agg(parts.alias("parts"))
-    whole = F.aggregate("parts", F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, x["ids"]))
+    whole = F.aggregate("parts", F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, F.coalesce(x["ids"], F.lit(b""))))
     return joined.select("sequence_id", whole.alias("ids"))
 
 
