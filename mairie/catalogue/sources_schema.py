@@ -36,6 +36,16 @@ def src01(t):
     return delimited.scan_delimited(t.spark, path)
 
 
+@query("src01_folder_of_headers", _CUSTOMER_SQL.replace(", c_mktsegment", ", case when c_custkey % 2 = 0 then c_mktsegment end c_mktsegment"))
+def src01_headers(t):
+    """All customers from files of two layouts: other column order, a column less, one separator and encoding."""
+    data, path = t.read("customer").select(*_CUSTOMER), new_path(t.spark, "src01")
+    halves = (data.where("c_custkey % 2 = 0"), data.where("c_custkey % 2 = 1").select("c_nationkey", "c_custkey", "c_name"))
+    for part in halves:
+        part.write.mode("append").option("sep", "|").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return delimited.scan_folder(t.spark, path, "|", "ISO-8859-1").select(*_CUSTOMER)
+
+
 @query(
     "src02_large_scan_filter_load",
     with_views(
@@ -84,6 +94,24 @@ def src04(t):
     )
 
 
+@query(
+    "src04_sheets_of_two_layouts",
+    """select c_custkey, c_mktsegment, case when c_custkey % 2 = 0 then cast(c_nationkey as double) end nation from customer""",
+)
+def src04_layouts(t):
+    """All customers from two sheets: notes above headers of other order, a column less, tabs between cells."""
+    path, tab = new_path(t.spark, "src04"), "\t"
+    halves = {0: ["c_mktsegment", "c_custkey", "c_nationkey"], 1: ["c_custkey", "c_mktsegment"]}
+    for rest, names in halves.items():
+        part = t.read("customer").where(f"c_custkey % 2 = {rest}").select(*names)
+        lines = part.select(F.lit(2).alias("k"), F.concat_ws(tab, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]).alias("value"))
+        top = t.spark.createDataFrame([(0, f"Note {rest}"), (1, tab.join(names))], "k int, value string")
+        # One file a sheet: its lines are the test's data, not the reader's way.
+        top.union(lines).coalesce(1).sortWithinPartitions("k").select("value").write.mode("append").text(path)
+    sheet = delimited.scan_sheet(t.spark, path, "c_custkey", "^[0-9]+$", tab)
+    return sheet.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_mktsegment", to_number("c_nationkey").alias("nation"))
+
+
 @query(
     "src05_pushed_scan",
     "select l_orderkey, l_linenumber, l_extendedprice from lineitem where l_returnflag = 'R' and l_quantity >= 45",

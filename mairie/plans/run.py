@@ -24,7 +24,7 @@ from mairie.plans import gold, modelling, silver
 from mairie.plans.questions import BUNDLE_FILTERS, BUNDLES, Report, bundle, write_bundle
 from mairie.session import build_session
 from mairie.sources import tables
-from mairie.sources.delimited import scan_delimited, scan_sheet, with_file_order
+from mairie.sources.delimited import FILE_ORDER, scan_delimited, scan_sheet, with_file_order
 from mairie.sources.schemas import LAYERS
 
 # File or folder of each source inside the bronze folder.
@@ -64,8 +64,8 @@ def load_silver(
     keep("deces", silver.vital_events(lines("deces"), ref, "nb_deces", DEATH_MEASURES))
     layout = "by_year" if scope == "pilot" else "snapshot"
     keep("revenus", silver.income(lines("revenus"), ref, layout))
-    keep("csp", silver.occupations(with_file_order(scan_sheet(spark, path("csp"), "DR")), ref))
-    sheet = with_file_order(scan_sheet(spark, path("diplomes"), "CODGEO"))
+    keep("csp", silver.occupations(scan_sheet(spark, path("csp"), "DR", order=FILE_ORDER), ref))
+    sheet = scan_sheet(spark, path("diplomes"), "CODGEO", order=FILE_ORDER)
     keep("diplomes", silver.diplomas(sheet, ref))
     if scope == "national":
         tables.write_table(silver.population_typology(sheet), f"{out}/silver/typologie")

@@ -51,6 +51,38 @@ def test_sheet_ingest(spark, tmp_path, rows):
         delimited.scan_sheet(spark, path, "CODGEO")
 
 
+def test_files_of_a_folder_with_headers_of_their_own(spark, tmp_path, rows):
+    folder = tmp_path / "in put[1]"
+    folder.mkdir()
+    (folder / "a b.csv").write_bytes("code|nom|v|v\n1|été|x|y\n2|\"a|b\"||\n".encode("latin-1"))
+    (folder / "c{2}.csv").write_bytes("nom|autre|code\nîle|7|3\n".encode("latin-1"))
+    (folder / "d.csv").write_bytes("code|nom|v|v\n4||z|\n".encode("latin-1"))
+    (folder / "empty.csv").write_bytes(b"")
+    escaped = str(folder).replace("[", "\\[").replace("]", "\\]")
+    found = delimited.headers(spark, escaped, "|", "ISO-8859-1")
+    assert sorted(len(f) for f in found.values()) == [1, 2]
+    df = delimited.scan_folder(spark, escaped, "|", "ISO-8859-1", order="place")
+    want = [("1", "été", "x", "y", None), ("2", "a|b", None, None, None), ("3", "île", None, None, "7"), ("4", None, "z", None, None)]
+    assert rows(df, "code", "nom", "v2", "v3", "autre") == want and "place" in df.columns
+    with pytest.raises(ValueError):
+        (tmp_path / "none").mkdir()
+        write(tmp_path / "none" / "x.csv", "")
+        delimited.scan_folder(spark, str(tmp_path / "none"))
+
+
+def test_sheets_with_headers_of_their_own(spark, tmp_path, rows):
+    folder = tmp_path / "sheets"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("Tableau étendu\n\nCODGEO,v,\n01001,1,\nTotal,9,\n".encode("latin-1"))
+    (folder / "b.csv").write_bytes("x,y\r\n \r\n\"w\",\"CODGEO\",v\r\né,2A004,2\r\n".encode("latin-1"))
+    sheet = delimited.scan_sheet(spark, str(folder), "CODGEO", sep=",", encoding="ISO-8859-1", order="place")
+    assert rows(sheet, "CODGEO", "v", "w") == [("01001", "1", None), ("2A004", "2", "é")] and "place" in sheet.columns
+    # A line of notes holds the marker as part of a cell only; a file without header is refused among several.
+    write(folder / "c.csv", "CODGEO below,\n")
+    with pytest.raises(ValueError):
+        delimited.scan_sheet(spark, str(folder), "CODGEO", sep=",")
+
+
 def test_aliases_keep_the_first_in_file_order(spark, rows):
     df = spark.createDataFrame([("1", "Upper", "Label", "75")], "com string, NCC string, LIBELLE string, Dep string")
     named = h.rename_aliases(df, h.REFERENTIAL_ALIASES)
