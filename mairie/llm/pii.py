@@ -3,8 +3,9 @@
 The base patterns find well-formed values.  The field finds values that are written otherwise
 (an address with "(at)", a number without its plus sign): it scores whole candidate spans, not
 single tokens, with features of the span and its surroundings, and a dynamic programme over spans
-of at most ``LONGEST`` tokens chooses boundaries and kinds together.  A span is added only if its
-probability, from the forward and backward sums, reaches ``SURE`` and no base span overlaps it.
+of at most ``LONGEST`` tokens chooses boundaries and kinds together.  A span is added only if the
+probability of its kind at one of its tokens, from the forward and backward sums, reaches ``SURE``
+and no base span overlaps it.
 
 Only regions around digits groups and at-signs can hold a candidate; every region of every whole
 text is scored.  Training takes the regions of a bounded sample of documents, with the base spans
@@ -16,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,6 @@ SAMPLE = 4_000  # documents that training regions are taken from
 LONGEST = 16  # tokens of a span
 SURE = 0.9
 _WEIGHTS = 1 << 13
-_AROUND = 24  # characters of context on either side of a region
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -87,15 +88,30 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def _reach(text: str, at: int, step: int) -> int:
+    """Where ``LONGEST`` tokens after (``step`` 1) or before (-1) a place end; a run of letters or digits is one, however long."""
+    width = 4 * LONGEST
+    while True:
+        # Runs have the same bounds read from either side.
+        near = text[at : at + width] if step > 0 else text[max(0, at - width) : at][::-1]
+        end = max((m.end() for m in islice(_TOKEN.finditer(near), LONGEST)), default=0)
+        if len(near) < width or end < len(near):
+            return at + step * end
+        width *= 2
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around every possible core, merged where they touch; cut at blanks where there are any."""
+    """Stretches of ``LONGEST`` tokens on either side of every possible core, merged where they touch.
+
+    A span has at most that many tokens, so each one that holds a core lies inside with whole tokens.
+    """
     out: list[list[int]] = []
     if not _MAYBE.search(text):
         return []
     for m in _CORE.finditer(text):
-        low, high = max(0, m.start() - _AROUND), min(len(text), m.end() + _AROUND)
+        low, high = _reach(text, m.start(), -1), _reach(text, m.end(), 1)
         if out and low <= out[-1][1]:
-            out[-1][1] = high
+            out[-1][1] = max(high, out[-1][1])
         else:
             out.append([low, high])
     return [(a, b) for a, b in out]
@@ -127,11 +143,13 @@ class Lattice:
             for j in range(i, min(len(tokens), i + LONGEST)):
                 n += digits[j]
                 mark |= tokens[j] in ("@", "at", "AT")
-                if shapes[j][0] not in "9a" or n < 6 and not mark or n > 30:
+                if n > 30:
+                    break
+                if shapes[j][0] not in "9a" or n < 6 and not mark:
                     continue
                 self.spans.append((i, j + 1))
                 features.append(self._features(tokens, shapes, i, j + 1, n))
-        self.features = np.array(features, np.int64).reshape(len(features), -1)
+        self.features = np.array(features, np.int64) if features else np.zeros((0, 1), np.int64)
 
     def _features(self, tokens, shapes, i, j, n) -> list[int]:
         inner = tokens[i:j]
@@ -179,7 +197,7 @@ class Lattice:
         return np.exp(scores + inside), float(forward[size])
 
     def best(self, weights: np.ndarray) -> list[tuple[int, int, str, float]]:
-        """The best segmentation's spans with their probabilities (start, end in characters)."""
+        """The best segmentation's spans (start, end in characters), each with the chance that a span of its kind stands there."""
         if not self.spans:
             return []
         scores = weights[:, self.features].sum(axis=2)
@@ -194,6 +212,12 @@ class Lattice:
             total.append(choice[0] if keep else total[t - 1])
             back.append(choice[1] if keep else -1)
         chance, _ = self.marginals(weights)
+        # Spans over one token exclude each other, so their sum is the chance that it belongs to the kind.
+        over = np.zeros((len(KINDS), len(self.at) + 1))
+        for k, (i, j) in enumerate(self.spans):
+            over[:, i] += chance[:, k]
+            over[:, j] -= chance[:, k]
+        over = np.cumsum(over, axis=1)
         out, t = [], len(self.at)
         while t > 0:
             k = back[t]
@@ -201,7 +225,7 @@ class Lattice:
                 t -= 1
                 continue
             i, j = self.spans[k]
-            out.append((self.at[i][0], self.at[j - 1][1], KINDS[kind[k]], float(chance[kind[k], k])))
+            out.append((self.at[i][0], self.at[j - 1][1], KINDS[kind[k]], float(over[kind[k], i:j].max())))
             t = i
         return out[::-1]
 
@@ -215,7 +239,21 @@ def rewritten(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, l
         lambda v, k: re.sub(r"[^0-9]+", ".", v.lstrip("+")) if k == "phone"
         else ".".join(re.findall("[0-9]{1,4}", v)) if k == "card" else v.replace("@", " @ ") if k == "email" else v,
     ]
+    # Names of one and of several words, and short domains: the texts' own addresses may all have one form.
+    name = lambda v: re.sub("[^A-Za-z]+", "", v.split("@")[0]) or "a"
+    host = lambda v: ".".join(v.split("@")[1].split(".")[-2:])
+    ways += [
+        lambda v, k: f"{name(v)} (at) {host(v)}" if k == "email" else v,
+        lambda v, k: f"{name(v)}.{name(v)}-{name(v)} (at) {host(v)}" if k == "email" else v,
+        lambda v, k: f"{name(v)}.{name(v)[:1]}[at]{v.split('@')[1]}" if k == "email" else v,
+        lambda v, k: f"{name(v)} @ {host(v)}" if k == "email" else v,
+    ]
     out = []
+    words = re.findall("[A-Za-z]+", text)
+    if len(words) > 1:  # the mark between plain words is no address
+        for mark in (" (at) ", " @ ", "[at]"):
+            lead = f"{words[0]}{mark}{words[-1]} "
+            out.append((lead + text, [(a + len(lead), b + len(lead), kind) for a, b, kind in spans]))
     for way in ways:
         made, at, moved = "", 0, []
         for a, b, kind in spans:
@@ -227,7 +265,7 @@ def rewritten(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, l
     return out
 
 
-def train(examples: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 6, rate: float = 0.3) -> np.ndarray | None:
+def train(examples: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = 12, rate: float = 0.3) -> np.ndarray | None:
     """Weights (kinds, features) that maximise the likelihood of the labelled regions; None without any span."""
     lattices = []
     for text, spans in examples:

@@ -48,3 +48,38 @@ def test_long_runs_take_linear_time(text):
     start = time.time()
     pii.base_spans(text)
     assert time.time() - start < 10
+
+
+def test_regions_hold_whole_tokens():
+    name = "maximiliane.schwarzenberger-oberhauser"
+    text = f"write to {name} (at) example.org " + "z" * 5_000 + " or 12345678"
+    spans = [text[a:b] for a, b in pii.regions(text)]
+    assert len(spans) == 1 and f"{name} (at) example.org" in spans[0] and spans[0].endswith("z" * 5_000 + " or 12345678")
+    assert pii.regions("no core at all (at home)") == [] and pii.regions("@") == [(0, 1)] and pii.regions("") == []
+
+
+def test_field_finds_written_out_addresses():
+    made = []
+    for k in range(60):
+        address = f"word{'abcdef'[k % 6]}.{k}@mail{k % 9}.example.com"
+        text = f"some plain words before {address} and others after, in 20{k}"
+        made.append((text, [(24, 24 + len(address), "email")]))
+    weights = pii.train(made + [x for text, s in made for x in pii.rewritten(text, s)])
+    for value in ("joe (at) example.org", "maximiliane.schwarzenberger-oberhauser (at) example.org"):
+        text = f"please send it to {value} for more"
+        assert [text[a:b] for a, b, _ in pii.all_spans(text, weights, [])] == [value]
+    for plain in ("we met (at) noon in paris", "the price (at) least two.", "call me in 2011 or 2012"):
+        assert pii.all_spans(plain, weights, []) == []
+
+
+def test_cores_without_any_candidate():
+    weights = pii.train([("a 12345678 b", [(2, 10, "phone")])])
+    for text in ("@", " @ ", "(at)", "@@@@ ", "@" * 3_000 + "x" * 20_000):
+        assert pii.all_spans(text, weights, pii.base_spans(text)) == []
+
+
+def test_tables_of_numbers_end():
+    text = "12 345 6789 01 " * 4_000
+    start = time.process_time()
+    pii.all_spans(text, pii.train([("a 12345678 b", [(2, 10, "phone")])]), pii.base_spans(text))
+    assert time.process_time() - start < 60
