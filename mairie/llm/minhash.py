@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from mairie.llm.common import components, discard, store
 from mairie.llm.shingles import band_rows, set_rows
+from mairie.llm.textbytes import tidy
 from mairie.session import broadcast_checked
 
 WIDTH = 5
@@ -45,7 +46,7 @@ def _overlaps(percent: int):
                 [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mairie.llm.common import discard, store
-from mairie.llm.textbytes import buffer_of, slices, word_spans
+from mairie.llm.textbytes import buffer_of, slices, tidy, word_spans
 from mairie.session import broadcast_checked
 
 WEIGHTS = (5, 2, 1)
@@ -128,7 +128,7 @@ def sized_documents(docs: DataFrame, seed: int, source: str = "source") -> DataF
     """doc_id, source, size, content (a hash of the text) and place (a seeded random 64-bit order) of each row."""
     text = F.col("text").alias("_text")
     sized = docs.select("doc_id", F.col(source).cast("string").alias("source"), _content().alias("content"), text).mapInArrow(
-        _sizes, "doc_id bigint, source string, content bigint, size bigint"
+        tidy(_sizes), "doc_id bigint, source string, content bigint, size bigint"
     )
     return sized.withColumn("place", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)), "size", "content"))
 

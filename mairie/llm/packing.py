@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mairie.llm.common import store
-from mairie.llm.textbytes import slices
+from mairie.llm.textbytes import slices, tidy
 from mairie.llm.tokens import encoder
 
 WINDOW = 1024
@@ -40,7 +40,7 @@ def cut_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, special=True).encode
-        for batch in slices(batches, "_text", 8 << 20):
+        for batch in slices(batches, "_text", 2 << 20):
             flat, begins = encode(batch.column("_text"))
             sizes = np.diff(begins)
             tokens = sizes + 1
@@ -61,7 +61,7 @@ def cut_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, tokenizer
             yield pa.RecordBatch.from_arrays([*columns, blob.cast(pa.binary())], names=names)
 
     schema = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
-    return docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(tidy(run), schema)
 
 
 def combinations(bins: int, depth: int = DEPTH) -> list[tuple[int, ...]]:

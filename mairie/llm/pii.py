@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mairie.llm.textbytes import slices
+from mairie.llm.textbytes import slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 4_000  # documents that training regions are taken from
@@ -320,7 +320,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, most: int = 400) -> np.ndarray |
     """Weights from at most ``most`` regions of at most ``sample`` documents, in hashed orders."""
     ids = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    found = chosen.mapInArrow(_examples, "region string, spans array<string>").distinct()
+    found = chosen.mapInArrow(tidy(_examples), "region string, spans array<string>").distinct()
     found = found.orderBy(F.xxhash64("region"), "region").limit(most).toArrow().to_pylist()
     examples = []
     for r in found:
@@ -381,25 +381,25 @@ def find_private(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 8 << 20):
+        for batch in slices(batches, "_text", 2 << 20):
             found = [_judge(text, weights) for text in batch.column("_text").to_pylist()]
             lists = [pa.array([r[k] for r in found], pa.string()) for k in range(2)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], names=["doc_id", "base", "spans"])
 
     rows = docs.select("doc_id", F.col("text").alias("_text"))
-    return rows.mapInArrow(run, "doc_id bigint, base string, spans string")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, base string, spans string")
 
 
 def mask_private(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     """``docs`` with each span replaced by its kind; n_chars, where there is one, follows the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             texts = [_judge(text, weights)[2] for text in batch.column("text").to_pylist()]
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    masked = docs.mapInArrow(run, docs.schema)
+    masked = docs.mapInArrow(tidy(run), docs.schema)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return masked

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from mairie.llm.textbytes import hashed_words, mix, slices, window_hashes
+from mairie.llm.textbytes import hashed_words, mix, slices, tidy, window_hashes
 
 _U64 = np.uint64
 
@@ -135,7 +135,7 @@ def band_rows(width: int, bins: int, bands: int):
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
 
-    return run
+    return tidy(run)
 
 
 def set_rows(width: int):
@@ -147,4 +147,4 @@ def set_rows(width: int):
             sets = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=["doc_id", "shingles"])
 
-    return run
+    return tidy(run)

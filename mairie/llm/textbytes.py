@@ -8,7 +8,8 @@ memory does not follow the size of a batch or of one very long text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -139,3 +140,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 * SLICE
             upto = max(int(np.searchsorted(rows, rows[at] + size, "right")) - 1, at + 1)
             yield batch.slice(at, upto - at)
             at = upto
+
+
+def _give_back() -> None:
+    """Return free memory of the Arrow pool and, where the C library can, of the heap to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, with the memory it freed given back at the end of each task.
+
+    Python workers wait for later tasks, and beside them the next step has to fit.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return whole
