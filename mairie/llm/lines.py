@@ -29,28 +29,27 @@ def repeated_window_words(words: Column, width: int = WINDOW) -> dict[str, Colum
     """Words in ``width``-word windows whose sequence occurs twice or more in the array, first included.
 
     A window's 64-bit hash gives its high bits and its position the low bits of one long; sorted,
-    equal windows are neighbours.  The position takes just the bits the array needs, so a text of
-    20 000 words still has 49 bits of hash.
+    equal windows stand together.  What shares its high bits with a neighbour is compared once more
+    by the whole hash, so a long text, whose positions take more bits, is judged as exactly as a short one.
     """
     n = F.size(words) - (width - 1)
     bits = F.length(F.bin(n))
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - F.lit(1)
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    packed = F.sort_array(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: F.xxhash64(*[F.get(F.col("_h"), i + k) for k in range(width)]).bitwiseAND(
-                F.bitwise_not(F.col("_mask"))
-            ).bitwiseOR(i.cast("bigint")),
-        )
-    )
+    window = lambda i: F.xxhash64(*[F.get(F.col("_h"), i + k) for k in range(width)])
     top = lambda v: v.bitwiseAND(F.bitwise_not(F.col("_mask")))
-    again = F.filter(
-        F.col("_p"),
-        lambda v, j: F.coalesce(top(F.get(F.col("_p"), j - 1)) == top(v), F.lit(False))
-        | F.coalesce(top(F.get(F.col("_p"), j + 1)) == top(v), F.lit(False)),
+    packed = F.sort_array(F.transform(F.sequence(F.lit(0), n - 1), lambda i: top(window(i)).bitwiseOR(i.cast("bigint"))))
+
+    def repeated(array: str, name) -> Column:
+        """The elements of a sorted array that share their name with a neighbour."""
+        same = lambda v, j: F.coalesce(name(F.get(F.col(array), j)) == name(v), F.lit(False))
+        return F.filter(F.col(array), lambda v, j: same(v, j - 1) | same(v, j + 1))
+
+    place = lambda v: v.bitwiseAND(F.col("_mask"))
+    whole = F.sort_array(
+        F.transform(repeated("_p", top), lambda v: F.struct(window(place(v).cast("int")).alias("h"), place(v).alias("i")))
     )
-    starts = F.sort_array(F.transform(again, lambda v: v.bitwiseAND(F.col("_mask"))))
+    starts = F.sort_array(F.transform(repeated("_q", lambda v: v["h"]), lambda v: v["i"]))
     covered = F.aggregate(
         F.transform(
             F.col("_s"),
@@ -60,7 +59,7 @@ def repeated_window_words(words: Column, width: int = WINDOW) -> dict[str, Colum
         lambda acc, v: acc + v,
     )
     # Each part is a column of its own (see ``text_rules``), so that nothing is computed twice.
-    return {"_h": hashes, "_mask": mask, "_p": packed, "_s": starts, "covered": covered}
+    return {"_h": hashes, "_mask": mask, "_p": packed, "_q": whole, "_s": starts, "covered": covered}
 
 
 def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -86,10 +85,10 @@ def text_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     out = out.withColumn("_p", F.when(F.size("_w") > WINDOW, part["_p"]).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("_s", part["_s"]).withColumn("n_repeat_words", part["covered"])
+    out = out.withColumn("_q", part["_q"]).withColumn("_s", part["_s"]).withColumn("n_repeat_words", part["covered"])
     failed = (F.col("n_words") < 10) | (F.lit(100) * F.col("n_repeat_words") > F.lit(20) * F.col("n_words"))
     lines = F.transform(F.col("_l"), lambda x: F.struct(line_hash(x).alias("line"), word_count(x).alias("words")))
-    return out.withColumn("base_failed", failed).withColumn("_lines", lines).drop("_w", "_l", "_h", "_mask", "_p", "_s")
+    return out.withColumn("base_failed", failed).withColumn("_lines", lines).drop("_w", "_l", "_h", "_mask", "_p", "_q", "_s")
 
 
 def line_hash(line: Column) -> Column:
