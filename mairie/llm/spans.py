@@ -1,17 +1,20 @@
 """Removal of long repeated spans by compaction of a token De Bruijn graph.
 
-A window of 13 words is an edge from its first 12 words to its last 12.  Only edges that stand in
-two documents matter, and most text has none, so edges are made in two steps.  First every document
-names its anchors: the smallest 4-word hash of each window (equal windows have equal anchors, and
-neighbours mostly share one).  Anchors of two documents or more lead back to the windows to look at.
-There, neighbouring edges with one anchor form a run; equal runs are one, whatever the number of
-documents that hold them.  Edges of distinct runs are joined with their first source document, and
-neighbours in a run with the same source compact into paths.  A path's coordinates in each document
-that holds the run give the words to remove.
-
-Edges are told apart by 96 bits of two independent hashes.  Anchors, runs and edges are counted with
-map-side combine, and joins have one row per key on one side, so adaptive execution can split a
-passage found in a third of all documents.
+A window of 13 words is an edge from its first 12 words to its last 12.  The graph holds the edges
+that stand in two documents, each with its source: the smallest document that has it, and where.
+Most text has no such edge, so candidates come first: every document names its anchors, the smallest
+4-word hash of each window (equal windows have equal anchors, and neighbours mostly share one), and
+anchors of two documents or more lead back to the windows to look at.  There, neighbouring edges
+with one anchor form a run, and equal runs are one, whatever the number of documents that hold them.
+
+A node with one edge in and one edge out does not branch.  Edges that meet in such a node are joined
+into one path if the source coordinates bear it out: same source document, next place there
+(``compact``).  Each run is then read as pieces of paths, and pieces that follow each other in a
+document and in the source at once are one repeated span (``repeated_spans``).
+
+Edges are told apart by 96 bits of two independent hashes; nodes need 64, since a coordinate confirms
+every link.  Anchors, runs, edges and degrees are counted with map-side combine, and joins have one
+row per key on one side, so adaptive execution can split a passage found in a third of all documents.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mairie.llm.common import discard, store
-from mairie.llm.textbytes import buffer_of, hashed_words, mix, slices, window_hashes, word_spans
+from mairie.llm.textbytes import buffer_of, hashed_words, mix, slices, tidy, window_hashes, word_spans
 
 WIDTH = 13
 ANCHOR = 4
@@ -96,6 +99,9 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (anchor[1:] != anchor[:-1])
         first = np.flatnonzero(new)
         counts = np.diff(np.append(first, len(row)))
+        node = window_hashes(words, WIDTH - 1)
+        # A run's nodes are the first 12 words of each edge, and the last 12 of its last one.
+        nodes = np.insert(node[place], first + counts, node[place[first + counts - 1] + 1])
         step = mix(np.arange(len(row), dtype=_U64) - np.repeat(first, counts).astype(_U64) + _U64(7))
         run = mix(np.add.reduceat(mix(edge ^ step), first) + counts.astype(_U64))
         yield pa.RecordBatch.from_arrays(
@@ -105,13 +111,14 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(run.view(np.int64)),
                 _lists(counts, pa.array(edge.view(np.int64))),
                 _lists(counts, pa.array(check.view(np.int32))),
+                _lists(counts + 1, pa.array(nodes.view(np.int64))),
             ],
-            names=["doc_id", "start", "run", "edges", "checks"],
+            names=["doc_id", "start", "run", "edges", "checks", "nodes"],
         )
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole texts without the words that the paths (``starts``, ``counts``) cover; words joined by one space."""
+    """Whole texts without the words that the spans (``starts``, ``counts``) cover; words joined by one space."""
     for batch in slices(batches, "_text", 4 << 20):
         data, rows = buffer_of(batch.column("_text"))
         begin, end = word_spans(data, rows)
@@ -145,10 +152,34 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_paths(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, n, origin): the n windows from word ``start`` on also start in the smaller doc_id ``origin``."""
+def compact(edges: DataFrame) -> DataFrame:
+    """Paths of a De Bruijn graph: each edge with ``base``, the source place at which its path begins.
+
+    The input has one row per edge: its name (edge, check), its nodes (pre, post) and its source
+    (origin, at).  Two edges are linked where one's ``post`` is the other's ``pre``, this node has one
+    edge in and one out, and the source holds them at neighbouring places.  An edge without a link to
+    the one before it begins a path.  An empty table gives an empty one.
+    """
+    one, no = F.lit(1), F.lit(0)
+    into = edges.select(F.col("post").alias("node"), "origin", (F.col("at") + 1).alias("at"))
+    out = edges.select(F.col("pre").alias("node"), "origin", "at")
+    degrees = into.select("node", one.alias("ins"), no.alias("outs")).union(out.select("node", no, one))
+    plain = degrees.groupBy("node").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs")).where("ins = 1 and outs = 1")
+    linked = into.join(out, ["node", "origin", "at"]).join(plain, "node", "left_semi")
+    linked = linked.select("origin", "at", F.lit(True).alias("linked")).distinct()
+    # A linked edge has its predecessor one place earlier, so its path begins at the last head before it.
+    # A source's edges are no more than its words.
+    head = F.when(F.col("linked").isNull(), F.col("at"))
+    before = Window.partitionBy("origin").orderBy("at")
+    return edges.join(linked, ["origin", "at"], "left").select(
+        "edge", "check", "origin", "at", F.last(head, ignorenulls=True).over(before).alias("base")
+    )
+
+
+def _named_runs(docs: DataFrame) -> DataFrame:
+    """Runs of windows whose anchor two documents have: doc_id, start, run, edges, checks, nodes."""
     texts = docs.select("doc_id", F.col("text").alias("_text")).where("doc_id is not null and _text is not null")
-    anchors = store(texts.mapInArrow(_anchor_rows, "doc_id bigint, anchors array<bigint>"), "anchors")
+    anchors = store(texts.mapInArrow(tidy(_anchor_rows), "doc_id bigint, anchors array<bigint>"), "anchors")
     each = anchors.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = store(shared.where("low < high").select("anchor"), "shared")
@@ -157,36 +188,68 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
     wanted = store(wanted, "wanted")
     discard(anchors, shared)
     runs = texts.join(wanted, "doc_id").mapInArrow(
-        _run_rows, "doc_id bigint, start int, run bigint, edges array<bigint>, checks array<int>"
+        tidy(_run_rows), "doc_id bigint, start int, run bigint, edges array<bigint>, checks array<int>, nodes array<bigint>"
     )
     runs = store(runs, "runs")
     discard(wanted)
+    return runs
+
 
-    # Equal runs are one, with their first and last document.
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, n, origin, origin_start): ``n`` windows from word ``start`` on, as in the source.
+
+    Each of them also starts in the smaller doc_id ``origin``, there from word ``origin_start`` on;
+    ``origin`` is the smallest document that has the window.  Spans are as long as both texts agree
+    under one source.
+    """
+    runs = _named_runs(docs)
+    # Equal runs are one, with their first place and their last document.
     distinct = runs.groupBy("run").agg(
-        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
-        F.first("edges").alias("edges"), F.first("checks").alias("checks"),
+        F.min(F.struct("doc_id", "start")).alias("source"), F.max("doc_id").alias("last_doc"),
+        F.first("edges").alias("edges"), F.first("checks").alias("checks"), F.first("nodes").alias("nodes"),
     )
-    distinct = store(distinct, "distinct-runs")
+    distinct = store(distinct.select("run", "source.*", "last_doc", "edges", "checks", "nodes"), "distinct-runs")
     places = store(runs.select("doc_id", "start", "run"), "places")
     discard(runs)
-    edges = distinct.select(
-        "run", "first_doc", "last_doc", F.posexplode(F.arrays_zip("edges", "checks")).alias("i", "e")
-    ).select("run", "first_doc", "last_doc", "i", "e.edges", "e.checks")
-    source = edges.groupBy("edges", "checks").agg(F.min("first_doc").alias("origin"), F.max("last_doc").alias("last"))
-    source = source.where("origin < last").select("edges", "checks", "origin")
-    known = edges.join(source, ["edges", "checks"]).where("origin < last_doc").select("run", "i", "origin")
-    # Neighbours with one source compact into a path.
-    order = Window.partitionBy("run", "origin").orderBy("i")
-    paths = known.withColumn("path", F.col("i") - F.row_number().over(order))
-    paths = paths.groupBy("run", "origin", "path").agg(F.min("i").alias("from"), F.count(F.lit(1)).alias("n"))
-    paths = store(paths.groupBy("run").agg(F.collect_list(F.struct("from", "n", "origin")).alias("paths")), "paths")
-    discard(distinct)
-    # Source coordinates: where each document has the path.
-    placed = places.join(paths, "run").select("doc_id", "start", F.explode("paths").alias("p"))
-    placed = placed.where("p.origin < doc_id")
-    first = (F.col("start") + F.col("p.from")).cast("int")
-    return placed.select("doc_id", first.alias("start"), F.col("p.n").cast("int").alias("n"), F.col("p.origin").alias("origin"))
+    n = F.size("edges")
+    steps = F.arrays_zip(
+        F.col("edges").alias("edge"), F.col("checks").alias("check"),
+        F.slice("nodes", F.lit(1), n).alias("pre"), F.slice("nodes", F.lit(2), n).alias("post"),
+    )
+    edges = distinct.select("run", "doc_id", "start", "last_doc", F.posexplode(steps).alias("i", "e")).select(
+        "run", "doc_id", "last_doc", "i", (F.col("start") + F.col("i")).alias("at"), "e.*"
+    )
+    graph = edges.groupBy("edge", "check").agg(
+        F.min("doc_id").alias("origin"), F.min_by("at", "doc_id").alias("at"), F.max("last_doc").alias("last"),
+        F.first("pre").alias("pre"), F.first("post").alias("post"),
+    )
+    graph = store(graph.where("origin < last").drop("last"), "graph")
+    paths = store(compact(graph), "paths")
+    discard(graph)
+    known = edges.select("run", "last_doc", "i", "edge", "check").join(paths, ["edge", "check"]).where("origin < last_doc")
+    known = known.withColumn("shift", F.col("at") - F.col("i"))
+    key = ["run", "origin", "base", "shift"]
+    piece = F.col("i") - F.row_number().over(Window.partitionBy(*key).orderBy("i"))
+    pieces = known.withColumn("piece", piece).groupBy(*key, "piece").agg(F.min("i").alias("from"), F.count(F.lit(1)).alias("n"))
+    pieces = pieces.groupBy("run").agg(F.collect_list(F.struct("from", "n", "origin", "shift")).alias("pieces"))
+    pieces = store(pieces, "pieces")
+    discard(distinct, paths)
+    # ``off`` is how much farther a piece stands in the document than in its source.
+    placed = places.join(pieces, "run").select("doc_id", "start", F.explode("pieces").alias("p")).where("p.origin < doc_id")
+    placed = placed.select(
+        "doc_id", "p.origin", (F.col("start") - F.col("p.shift")).alias("off"),
+        (F.col("start") + F.col("p.from")).alias("start"), F.col("p.n").cast("int").alias("n"),
+    )
+    # A document's pieces are no more than its words; rows that repeat a document bring theirs again.
+    key = ["doc_id", "origin", "off"]
+    order = Window.partitionBy(*key).orderBy("start", "n")
+    reach = F.max(F.col("start") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = (reach.isNull() | (F.col("start") > reach)).cast("int")
+    spans = placed.repartition("doc_id").withColumn("new", new).withColumn("span", F.sum("new").over(order))
+    spans = spans.groupBy(*key, "span").agg(
+        F.min("start").alias("start"), (F.max(F.col("start") + F.col("n")) - F.min("start")).alias("n")
+    )
+    return spans.select("doc_id", "start", "n", "origin", (F.col("start") - F.col("off")).alias("origin_start"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -198,8 +261,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are treated alike; different texts under one doc_id are not supported as sources of each other,
     and each loses what its own windows repeat.  Other columns are not read.
     """
-    # A document's paths are no more than its words.
-    paths = repeated_paths(docs).groupBy(F.col("doc_id").alias("_d")).agg(
+    # A document's spans are no more than its words.
+    paths = repeated_spans(docs).groupBy(F.col("doc_id").alias("_d")).agg(
         F.collect_set(F.struct("start", "n")).alias("paths")
     ).select("_d", F.col("paths.start").alias("starts"), F.col("paths.n").alias("counts"))
     texts = docs.select("doc_id", F.col("text").alias("_text"))
@@ -207,4 +270,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     joined = texts.join(paths, F.col("doc_id") == F.col("_d"), "left").select(
         "doc_id", "_text", F.coalesce("starts", none).alias("starts"), F.coalesce("counts", none).alias("counts")
     )
-    return joined.mapInArrow(_cut_rows, "doc_id bigint, n_words bigint, n_removed bigint, text string")
+    return joined.mapInArrow(tidy(_cut_rows), "doc_id bigint, n_words bigint, n_removed bigint, text string")
