@@ -18,6 +18,7 @@ forest that connects its links, never its pairs.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mairie.llm.common import components, store
+from mairie.llm.common import components, discard, store
 
 SAMPLE = 20_000  # vectors that the codebooks and the limit are fitted on; all are indexed
+PROBES = 2_000  # turned vectors, at least, that set the limit
 BLOCK = 1_024
 RECALL = 0.9995
 
@@ -41,19 +43,21 @@ class MultiIndex:
         self.books = [self._codebook(part, size, rng) for part in self._halves(sample)]
         gaps = [((b[:, None] - b[None]) ** 2).sum(axis=2) ** 0.5 for b in self.books]
         self.gaps = [np.maximum(g, 1e-12) for g in gaps]
-        turned = rng.normal(size=sample.shape)
-        turned -= (turned * sample).sum(axis=1, keepdims=True) * sample
+        # A small sample is turned more than once, so that a few vectors do not decide by chance.
+        probes = np.resize(sample, (max(len(sample), PROBES if len(sample) else 0), sample.shape[1]))
+        turned = rng.normal(size=probes.shape)
+        turned -= (turned * probes).sum(axis=1, keepdims=True) * probes
         turned /= np.maximum(np.linalg.norm(turned, axis=1, keepdims=True), 1e-12)
-        other = threshold * sample + np.sqrt(max(0.0, 1 - threshold**2)) * turned
-        need = self.squares(sample, self.home(other))
-        self.limit = float(np.quantile(need, recall)) if len(need) else 0.0
+        other = threshold * probes + np.sqrt(max(0.0, 1 - threshold**2)) * turned
+        need = self.squares(probes, self.home(other))
+        self.limit = float(np.quantile(need, recall, method="higher")) if len(need) else 0.0
 
     def _halves(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, : self.half], x[:, self.half :]]
 
     @staticmethod
     def _codebook(x: np.ndarray, size: int, rng) -> np.ndarray:
-        distinct = np.unique(x, axis=0)
+        distinct = np.unique(np.round(x, 6), axis=0)  # codewords closer than that would tell nothing apart
         book = distinct[rng.permutation(len(distinct))[:size]].copy()
         for _ in range(12):
             near = np.argmin((book**2).sum(axis=1) - 2 * x @ book.T, axis=1)
@@ -82,25 +86,45 @@ class MultiIndex:
         row = np.arange(len(x))
         return a[row, cells // len(self.books[1])] ** 2 + b[row, cells % len(self.books[1])] ** 2
 
-    def visits(self, x: np.ndarray) -> Iterator[np.ndarray]:
-        """The cells each row visits, nearest first."""
+    def _walk(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[float, int]]:
+        """Squared distance and number of each cell, nearest first, from the squared distances to both books' codewords.
+
+        Both lists are sorted.  A heap holds the cells on the border of those seen: a cell brings the
+        next codeword of the second list, and one in the first column also that of the first list.
+        """
+        first, second = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+        near, far = a[first].tolist(), b[second].tolist()
+        border = [(near[0] + far[0], 0, 0)]
+        while border:
+            distance, i, j = heapq.heappop(border)
+            yield distance, int(first[i]) * len(b) + int(second[j])
+            if j + 1 < len(far):
+                heapq.heappush(border, (near[i] + far[j + 1], i, j + 1))
+            if j == 0 and i + 1 < len(near):
+                heapq.heappush(border, (near[i + 1] + far[0], i + 1, 0))
+
+    def visits(self, x: np.ndarray) -> Iterator[list[int]]:
+        """The cells each row visits, nearest first: it stops at the first one beyond the limit."""
         for a, b in zip(*self.margins(x), strict=True):
-            i, j = np.flatnonzero(a**2 <= self.limit), np.flatnonzero(b**2 <= self.limit)
-            far = a[i, None] ** 2 + b[None, j] ** 2
-            near = np.flatnonzero(far.ravel() <= self.limit)
-            near = near[np.argsort(far.ravel()[near], kind="stable")]
-            yield i[near // len(j)] * len(self.books[1]) + j[near % len(j)]
+            cells = []
+            for distance, cell in self._walk(a**2, b**2):
+                if distance > self.limit:
+                    break
+                cells.append(cell)
+            yield cells
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Unit rows in double precision."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(len(column), -1)
+    # Powers of two change no digit and keep the squares of very small or large components finite.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _entries(index: MultiIndex):
-    """mapInArrow function: (id, embedding, ...) to (id, visitor, cell), one home row and the visiting rows."""
+    """mapInArrow function: (key, label, embedding) to (key, label, visitor, cell), one home row and the visiting rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -111,12 +135,12 @@ def _entries(index: MultiIndex):
                 cells = list(index.visits(x))
                 row = np.repeat(np.arange(len(x)), [len(c) for c in cells])
                 row = np.concatenate([np.arange(len(x)), row])
-                cell = np.concatenate([home, *cells]).astype(np.int64)
+                cell = np.concatenate([home, *map(np.array, cells)]).astype(np.int64)
                 visitor = np.arange(len(row)) >= len(x)
                 take = pa.array(row)
-                columns = [batch.column(n).take(take) for n in ("id", "label", "n", "embedding")]
+                columns = [batch.column(n).take(take) for n in ("key", "label")]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(visitor), pa.array(cell)], names=["id", "label", "n", "embedding", "visitor", "cell"]
+                    [*columns, pa.array(visitor), pa.array(cell)], names=["key", "label", "visitor", "cell"]
                 )
 
     return run
@@ -139,18 +163,18 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _verify(index: MultiIndex, threshold: float):
-    """mapInArrow over rows sorted by block: (id, links, to) rows, ``to`` null for counts, links 0 for edges."""
+    """mapInArrow over rows sorted by block: link counts (key, links) and forest edges (a, b), the others null."""
 
     def block(rows: pa.Table) -> list[tuple]:
         visitor = rows["visitor"].to_numpy()
         if visitor.all() or not visitor.any():
             return []
         x = _matrix(rows["embedding"].combine_chunks())
-        ids, n = rows["id"].to_numpy(), rows["n"].to_numpy()
+        keys, ids, n = (rows[name].to_numpy() for name in ("key", "id", "n"))
         p, h = np.flatnonzero(visitor), np.flatnonzero(~visitor)
         a, b = np.nonzero(x[p] @ x[h].T >= threshold)
         a, b = p[a], h[b]
-        other = ids[a] != ids[b]
+        other = keys[a] != keys[b]
         a, b = a[other], b[other]
         if not len(a):
             return []
@@ -160,23 +184,24 @@ def _verify(index: MultiIndex, threshold: float):
         np.add.at(links, a, n[b])
         np.add.at(links, b[unseen], n[a[unseen]])
         found = np.flatnonzero(links)
-        out = [(int(ids[k]), int(links[k]), None) for k in found]
-        return out + [(u, 0, v) for u, v in _forest(ids[a], ids[b])]
+        out = [(int(keys[k]), int(links[k]), None, None) for k in found]
+        return out + [(None, None, u, v) for u, v in _forest(ids[a], ids[b])]
 
-    key = ["label", "cell", "home_block", "visit_block"]
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("to", pa.int64())])
+    key = ["cell", "home_block", "visit_block"]
+    schema = pa.schema([(name, pa.int64()) for name in ("key", "links", "a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         now = None
         for batch in batches:
-            names = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in key])
+            label = batch.column("label").dictionary_encode()
+            names = np.stack([label.indices.to_numpy(), *(batch.column(k).to_numpy().astype(np.int64) for k in key)])
             cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
             out = []
             for low, high in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
                 if high == low:
                     continue
-                name = tuple(names[:, low])
+                name = (label[int(low)].as_py(), *names[1:, low])
                 if held and name != now:
                     out += block(pa.Table.from_batches(held))
                     held = []
@@ -191,14 +216,13 @@ def _verify(index: MultiIndex, threshold: float):
 
 
 def _linked(classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(id, links, to) over the distinct vectors of one dimension (columns id, label, n, embedding)."""
+    """(key, links, a, b) over the distinct vectors of one dimension (columns key, id, label, n, embedding)."""
     total = classes.count()
     sample = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("embedding").toArrow()
     size = int(np.clip(np.ceil(np.sqrt(total / 64)), 4, 1024))
     index = MultiIndex(_matrix(sample["embedding"].combine_chunks()), size, threshold)
-    entries = classes.mapInArrow(
-        _entries(index), "id bigint, label bigint, n bigint, embedding array<float>, visitor boolean, cell bigint"
-    )
+    # Visits are keys; a vector travels once to them and from there to its blocks.
+    entries = classes.mapInArrow(_entries(index), "key bigint, label string, visitor boolean, cell bigint")
     entries = store(entries, "cells")
     v = F.col("visitor").cast("int")
     sizes = entries.groupBy("label", "cell").agg(F.sum(1 - v).alias("homes"), F.sum(v).alias("visitors"))
@@ -209,17 +233,20 @@ def _linked(classes: DataFrame, threshold: float, block: int) -> DataFrame:
         F.ceil(F.col("visitors") / block).cast("int").alias("vb"),
     )
     rows = entries.join(sizes, ["label", "cell"])
-    own = F.pmod(F.xxhash64("id"), F.when(F.col("visitor"), F.col("vb")).otherwise(F.col("hb"))).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.when(F.col("visitor"), F.col("vb")).otherwise(F.col("hb"))).cast("int")
     across = F.sequence(F.lit(0), F.when(F.col("visitor"), F.col("hb")).otherwise(F.col("vb")) - 1)
     rows = rows.withColumn("own", own).withColumn("across", F.explode(across))
     rows = rows.select(
-        "id", "label", "n", "embedding", "visitor", "cell",
+        "key", "label", "visitor", "cell",
         F.when(F.col("visitor"), F.col("across")).otherwise(F.col("own")).alias("home_block"),
         F.when(F.col("visitor"), F.col("own")).otherwise(F.col("across")).alias("visit_block"),
     )
     key = ["label", "cell", "home_block", "visit_block"]
+    rows = rows.join(classes.select("key", "id", "n", "embedding"), "key")
     rows = rows.repartition(*key).sortWithinPartitions(*key)
-    return rows.mapInArrow(_verify(index, threshold), "id bigint, links bigint, to bigint")
+    found = store(rows.mapInArrow(_verify(index, threshold), "key bigint, links bigint, a bigint, b bigint"), "links")
+    discard(entries)
+    return found
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int = BLOCK) -> DataFrame:
@@ -228,27 +255,28 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int = BLOCK
     Only vectors with equal, non-null labels and equal length are compared.  Null, empty and zero
     vectors and those with a null, NaN or infinite component link with nothing, nor do rows without
     vec_id (component_id null, kept true).  Equal vectors always link; rows that repeat a vec_id
-    count as vectors of their own within one node.  Other columns are not read.
+    count as vectors of their own within one node.  Labels of any type are compared by their text, and
+    components in the precision they come in.  Other columns are not read.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("bigint").alias("label"))
+    single = vectors.select("embedding").schema[0].dataType.simpleString() == "array<float>"
+    embedding = F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding")
+    rows = vectors.select("vec_id", embedding, F.col("label").cast("string").alias("label"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("_good", F.coalesce(good, F.lit(False)))
     usable = rows.where("_good")
-    classes = store(
-        usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")), "classes"
-    )
+    classes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    # Numbered where they are written: the stored number names a distinct vector from here on.
+    classes = store(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
     found = None
     for (dim,) in classes.select(F.size("embedding")).distinct().collect():  # few: one per embedding model
         part = _linked(classes.where(F.size("embedding") == dim), threshold, block)
         found = part if found is None else found.union(part)
     if found is None:
-        found = classes.select("id", F.lit(0).cast("bigint").alias("links"), F.col("id").alias("to")).limit(0)
-    found = store(found, "links")
-    counts = found.where("to is null").groupBy("id").agg(F.sum("links").alias("links"))
-    parts = components(found.where("to is not null").select(F.col("id").alias("a"), F.col("to").alias("b")))
-    counts = counts.withColumnRenamed("id", "_c")
-    classes = classes.join(counts, F.col("id") == F.col("_c"), "left").join(parts, F.col("id") == F.col("node"), "left")
+        found = classes.select("key", F.col("n").alias("links"), F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    counts = found.where("a is null").groupBy(F.col("key").alias("_c")).agg(F.sum("links").alias("links"))
+    parts = components(found.where("a is not null").select("a", "b"))
+    classes = classes.join(counts, F.col("key") == F.col("_c"), "left").join(parts, F.col("id") == F.col("node"), "left")
     classes = classes.select(
         F.col("label").alias("_label"), F.col("embedding").alias("_vector"),
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"),
