@@ -88,3 +88,31 @@ def test_awkward_vectors(spark):
     assert (by[1].n_links, by[1].component_id, by[11].n_links, by[11].component_id) == (3, 1, 3, 1)
     assert all(by[k].n_links == 0 and by[k].kept for k in (3, 4, 5, 6, 7, 8, 9, 10, None))
     assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_cells_are_walked_nearest_first_up_to_the_limit():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = vectors.MultiIndex(x, 12, 0.9)
+    for row, cells, a, b in zip(x[:40], index.visits(x[:40]), *index.margins(x[:40]), strict=True):
+        far = index.squares(np.repeat(row[None], 144, axis=0), np.arange(144))
+        assert set(cells) == set(np.flatnonzero(far <= index.limit).tolist()) and len(set(cells)) == len(cells)
+        assert (np.diff(far[cells]) >= 0).all()
+        walk = [cell for _, cell in index._walk(a**2, b**2)]
+        assert walk[: len(cells)] == cells and sorted(walk) == list(range(144))
+
+
+def test_labels_and_components_keep_their_type(spark):
+    rows = [(1, [1e-60, 0.0], "x"), (2, [2e-60, 0.0], "x"), (3, [1e-200, 1e-210], "x"), (4, [1e300, 0.0], "y"), (5, [0.0, 1e300], "y"), (6, [3e300, 0.0], "y")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (0, 5), 6: (1, 4)}
+    rows = [(1, [1.0, 0.0], 1.2), (2, [2.0, 0.0], 1.9), (3, [3.0, 0.0], 1.2)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label double"))
+    assert {r.vec_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_vectors_under_one_id_are_counted_apart(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (2, [1.0, 0.12], 1), (3, [0.0, 1.0], 1)]
+    got = sorted(map(tuple, vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()))
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True)]

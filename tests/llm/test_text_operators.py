@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from mairie.llm import language, lines, minhash, mixing, packing, pii, secrets, spans
 from mairie.llm.queries import QUERIES
@@ -45,6 +46,43 @@ def test_repeated_spans(spark, texts, words):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(w), len(gone), kept)
 
 
+def test_repeated_spans_stand_in_their_source(spark, texts, words):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    first = {}
+    for i in sorted(texts):
+        w = words(texts[i])
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), i)
+    covered = defaultdict(set)
+    for r in spans.repeated_spans(docs).collect():
+        mine, source = words(texts[r.doc_id]), words(texts[r.origin])
+        assert r.n > 0 and r.origin < r.doc_id
+        assert mine[r.start : r.start + r.n + 12] == source[r.origin_start : r.origin_start + r.n + 12]
+        assert all(first[tuple(mine[k : k + 13])] == r.origin for k in range(r.start, r.start + r.n))
+        covered[r.doc_id].update(range(r.start, r.start + r.n))
+    for i, text in texts.items():
+        w = words(text)
+        assert covered[i] == {k for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i}
+
+
+def test_repeated_span_is_one_however_many_documents_hold_it(spark):
+    passage = " ".join(f"p{k}" for k in range(300))
+    docs = [(k, " ".join(f"d{k}x{j}" for j in range(20 + k)) + " " + passage + f" end{k}") for k in range(1, 40)]
+    got = spans.repeated_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.start, r.n, r.origin, r.origin_start) for r in got) == [(k, 20 + k, 288, 1, 21) for k in range(2, 40)]
+
+
+def test_paths_end_where_nodes_branch_and_sources_part(spark):
+    # name, pre, post, origin, at: a chain of four, of which node 3 has a second way out and 7 lies elsewhere in the source.
+    chain = [(1, 1, 2, 5, 10), (2, 2, 3, 5, 11), (3, 3, 4, 5, 12), (4, 4, 5, 5, 13), (9, 3, 8, 6, 40)]
+    parted = [(5, 20, 21, 7, 3), (6, 21, 22, 7, 4), (7, 22, 23, 7, 90), (8, 23, 24, 8, 91)]
+    schema = "edge bigint, check int, pre bigint, post bigint, origin bigint, at int"
+    edges = spark.createDataFrame([(e, 0, a, b, o, t) for e, a, b, o, t in chain + parted], schema)
+    got = {r.edge: (r.origin, r.base) for r in spans.compact(edges).collect()}
+    assert got == {1: (5, 10), 2: (5, 10), 3: (5, 12), 4: (5, 12), 9: (6, 40), 5: (7, 3), 6: (7, 3), 7: (7, 90), 8: (8, 91)}
+    assert spans.compact(edges.limit(0)).count() == 0
+
+
 def test_line_quality_counts(spark, texts, words):
     got = run(spark, "op9_line_quality")
     for i, text in texts.items():
@@ -60,6 +98,17 @@ def test_line_quality_counts(spark, texts, words):
         assert not (g.base_failed and g.kept)
 
 
+def test_repeated_windows_do_not_rest_on_the_bits_beside_positions(spark):
+    rows = [(1, [f"w{k}" for k in range(400)], 0), (2, [f"w{k % 150}" for k in range(200)], 100), (3, ["a"] * 12, 12)]
+    df = spark.createDataFrame(rows, "id int, _w array<string>, expected int")
+    part = lines.repeated_window_words(F.col("_w"))
+    # Two bits of a window's hash are left, so a hundred windows share them.
+    df = df.withColumn("_h", part["_h"]).withColumn("_mask", F.lit((1 << 62) - 1))
+    for name in ("_p", "_q", "_s"):
+        df = df.withColumn(name, part[name])
+    assert [r.expected for r in df.collect()] == [r.covered for r in df.select(part["covered"].alias("covered")).collect()]
+
+
 def test_frequent_lines_go_but_one_document_keeps_them(spark):
     own = lambda k: " ".join(chr(97 + k) * (j + 2) for j in range(12)) if k < 26 else "other words " * k
     rows = [(k, f"Shared line of the host\n{own(k)}", "h") for k in range(30)]
@@ -312,6 +361,28 @@ def test_network_learns_and_calibrates():
     scores = net.judge([secrets._windows(f"some words {key()} and more", 11, 41) for _ in range(50)])[:, 3]
     plain = net.judge([[codes] for codes, c in rows if c == 0])[:, 3]
     assert (scores >= net.limits[2]).mean() >= 0.9 and (plain < net.limits[2]).all() and np.isinf(net.limits[0])
+    assert net.false_rates.shape == (3,) and net.false_rates[2] == 0
+
+
+def test_limits_follow_the_demanded_recall():
+    """Findings that contradict each other score low, and the limit goes down with them."""
+    rng = np.random.default_rng(1)
+    text = lambda: "value " + "".join(rng.choice(list("abcdef0123456789"), 24))
+    rows = [(secrets._codes(text()), k % 2 * 3) for k in range(200)]
+    net = secrets.train(rows, epochs=2, least_steps=20)
+    held = [rows[k] for k in range(4, 200, 5)]
+    scores = net.judge([[codes] for codes, c in held if c == 3])[:, 3]
+    assert net.limits[2] < 0.9 and (scores >= net.limits[2]).mean() >= secrets.RECALL
+    plain = net.judge([[codes] for codes, c in held if c == 0])[:, 3]
+    assert net.false_rates[2] == (plain >= net.limits[2]).mean() > 0
+
+
+def test_every_candidate_is_looked_at():
+    text = "pwd = correcthorsebattery, id: 123456789012 and AbCdEfGhIjKlMnOpQrStUvWx; password = hunter2x"
+    found = [text[a:b] for a, b in secrets.candidates(text, secrets.base_spans(text))]
+    assert found == ["correcthorsebattery", "123456789012", "AbCdEfGhIjKlMnOpQrStUvWx"]
+    long = "k" * 500
+    assert "".join(v[-80:] for v in secrets._views(long, 100, 400)) and secrets._views(long, 100, 400)[-1].endswith("k")
 
 
 OPERATORS = {
