@@ -33,6 +33,9 @@ TOWN_SIZES = (380, 420)
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 POPULATION_BANDS = {"P22_POP0014": (1, 2), "P22_POP1529": (3, 4), "P22_POP30P": (5, 99)}
 
+# Columns of a line that occupations and population bands count.
+LINE_COLUMNS = ["l_partkey", "l_linenumber", "l_quantity", "l_returnflag"]
+
 _written: dict[tuple[str, ...], DataFrame] = {}
 
 
@@ -52,11 +55,14 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def once(self, name: str, build, partition_by=()) -> DataFrame:
+    def _key(self, name: str) -> tuple[str, ...]:
+        return (shared_dir(self.spark), self.spark.sparkContext.applicationId, self.folder, name)
+
+    def once(self, name: str, build, partition_by=(), rebalance: bool = True) -> DataFrame:
         """A stored table: built once per session and folder, in the shared folder."""
-        key = (shared_dir(self.spark), self.spark.sparkContext.applicationId, self.folder, name)
+        key = self._key(name)
         if key not in _written:
-            _written[key] = write_table(build(), new_path(self.spark, name), partition_by)
+            _written[key] = write_table(build(), new_path(self.spark, name), partition_by, rebalance)
         return _written[key]
 
     # Bronze shapes: every column is text.
@@ -78,6 +84,11 @@ class Tables:
             "k", F.col("o_custkey") % COMMUNES
         )
 
+    def counted_lines(self) -> DataFrame:
+        """The lines with the columns that occupations and population count, from the stored results if they are there."""
+        stored = _written.get(self._key("result-lines"))
+        return (self.lines() if stored is None else stored).select("k", *LINE_COLUMNS)
+
     def _vote_columns(self) -> dict:
         p, flag = F.col("o_orderpriority"), F.col("l_returnflag")
         return {
@@ -146,7 +157,7 @@ class Tables:
 
     def bronze_occupations(self) -> DataFrame:
         part = self.read("part")
-        rows = self.lines().join(part, F.col("l_partkey") == F.col("p_partkey"))
+        rows = self.counted_lines().join(part, F.col("l_partkey") == F.col("p_partkey"))
         columns = []
         for i, kind in enumerate(PART_TYPES, start=1):
             own = F.col("p_type") == kind
@@ -180,7 +191,7 @@ class Tables:
             F.nullif(F.count_if(F.col("l_linenumber").between(low, high)), F.lit(0)).cast("string").alias(name)
             for name, (low, high) in POPULATION_BANDS.items()
         ]
-        return self.lines().groupBy(F.col("k").cast("string").alias("CODGEO")).agg(*bands)
+        return self.counted_lines().groupBy(F.col("k").cast("string").alias("CODGEO")).agg(*bands)
 
     # Silver tables, stored like those of the real pipeline.
 
@@ -192,11 +203,20 @@ class Tables:
 
     def elections(self) -> DataFrame:
         """Results partitioned by type and year: questions read only what they filter."""
+        stored = _written.get(self._key("result-lines"))
+        if stored is not None:
+            return stored.drop("k", *LINE_COLUMNS)
         return self.once("elections", self.build_elections, PARTITIONS["elections"])
 
     def build_elections(self) -> DataFrame:
+        return self.build_result_lines().drop("k", *LINE_COLUMNS)
+
+    def build_result_lines(self) -> DataFrame:
+        """Results with the line columns that other tables count: one join and one write serve all."""
         c = self._vote_columns()
         return self.lines().select(
+            "k",
+            *LINE_COLUMNS,
             code(F.col("k")).alias("code_commune"),
             c["annee"].cast("smallint").alias("annee"),
             c["kind"].alias("type_election"),
@@ -257,13 +277,20 @@ class Tables:
     # Gold tables.
 
     def store_silver(self) -> None:
-        """Store the silver tables; they do not depend on each other, so their jobs overlap."""
-        builders = [
-            self.elections, self.occupations, self.income, self.typology, self.diplomas,
-            self.births, self.deaths, self.referential,
-        ]
-        with ThreadPoolExecutor(len(builders)) as pool:
-            list(pool.map(lambda build: build(), builders))
+        """Store the silver tables; their jobs overlap, but for those that count the stored results."""
+        others = [self.income, self.diplomas, self.births, self.deaths, self.referential]
+        with ThreadPoolExecutor(len(others) + 1) as pool:
+            jobs = [pool.submit(build) for build in [self._results_and_counts, *others]]
+            for job in jobs:
+                job.result()
+
+    def _results_and_counts(self) -> None:
+        """Results, occupations and typology from one pass over orders and lines."""
+        if self._key("elections") not in _written:
+            # The join's tasks write their rows as they are: moving all lines once more costs more than it saves.
+            self.once("result-lines", self.build_result_lines, PARTITIONS["elections"], rebalance=False)
+        self.occupations()
+        self.typology()
 
     def sources(self) -> dict[str, DataFrame]:
         self.store_silver()

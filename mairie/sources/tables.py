@@ -11,6 +11,9 @@ from mairie.operators.harmonise import enforce_schema
 from mairie.sources import published
 from mairie.sources.schemas import KEYS, PARTITIONS, REQUIRED, table_schema
 
+OPEN_FILES = 32
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def scan_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | str | None = None
@@ -31,14 +34,22 @@ def write_table(
     Rows of a partitioned table are rebalanced on the partition columns first:
     small values share a task and a value holding most rows is split over many, so
     files come out near the advisory size.  Input that is already laid out by those
-    columns can skip that shuffle with ``rebalance=False``.
+    columns can skip that shuffle with ``rebalance=False``; a task then keeps a file open for each of
+    its first ``OPEN_FILES`` partition values and sorts only the rows of further ones.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_WRITERS, "0")
+    if partition_by and not rebalance:
+        conf.set(_WRITERS, str(OPEN_FILES))
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(_WRITERS, before)
     # The known schema keeps partition values in their declared type.
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
