@@ -6,6 +6,7 @@ Most text has no such edge, so candidates come first: every document names its a
 4-word hash of each window (equal windows have equal anchors, and neighbours mostly share one), and
 anchors of two documents or more lead back to the windows to look at.  There, neighbouring edges
 with one anchor form a run, and equal runs are one, whatever the number of documents that hold them.
+Runs are noted by place and hash; what a run holds is read again in its source alone.
 
 A node with one edge in and one edge out does not branch.  Edges that meet in such a node are joined
 into one path if the source coordinates bear it out: same source document, next place there
@@ -76,7 +77,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of neighbouring windows with one wanted anchor: doc_id, start, run, edges and their checks."""
+    """Runs of neighbouring windows with one wanted anchor: doc_id, start, n and run, a hash of their edges."""
     for batch in slices(batches, "_text", 4 << 20):
         words, at, row, place, anchor = _windows(batch.column("_text"))
         wanted = batch.column("wanted")
@@ -94,27 +95,61 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         row, place, anchor = row[use], place[use], anchor[use]
         edge = window_hashes(words, WIDTH)[place]
-        check = (window_hashes(mix(words + _U64(0x632BE59BD9B4E019)), WIDTH)[place] >> _U64(32)).astype(np.uint32)
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (anchor[1:] != anchor[:-1])
         first = np.flatnonzero(new)
         counts = np.diff(np.append(first, len(row)))
-        node = window_hashes(words, WIDTH - 1)
-        # A run's nodes are the first 12 words of each edge, and the last 12 of its last one.
-        nodes = np.insert(node[place], first + counts, node[place[first + counts - 1] + 1])
         step = mix(np.arange(len(row), dtype=_U64) - np.repeat(first, counts).astype(_U64) + _U64(7))
         run = mix(np.add.reduceat(mix(edge ^ step), first) + counts.astype(_U64))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").take(pa.array(row[first])),
                 pa.array((place - at[row])[first].astype(np.int32)),
+                pa.array(counts.astype(np.int32)),
+                pa.array(run.view(np.int64)),
+            ],
+            names=["doc_id", "start", "n", "run"],
+        )
+
+
+def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges, checks and nodes of the runs that each text is the source of (``sources``)."""
+    for batch in slices(batches, "_text", 4 << 20):
+        words, at = hashed_words(batch.column("_text"))
+        sources = batch.column("sources")
+        many = np.diff(sources.offsets.to_numpy())
+        listed = sources.flatten()
+        doc = np.repeat(np.arange(batch.num_rows), many)
+        start, counts = listed.field("start").to_numpy(), listed.field("n").to_numpy().astype(np.int64)
+        # A run lies in its row; rows that repeat a doc_id with another text may be too short for it.
+        fits = np.flatnonzero(at[doc] + start + counts + WIDTH - 1 <= at[doc + 1])
+        if not len(fits):
+            continue
+        doc, start, counts = doc[fits], start[fits], counts[fits]
+        begin = at[doc] + start
+        ends = np.cumsum(counts)
+        place = np.arange(ends[-1]) + np.repeat(begin - ends + counts, counts)
+        edge = window_hashes(words, WIDTH)[place]
+        check = (window_hashes(mix(words + _U64(0x632BE59BD9B4E019)), WIDTH)[place] >> _U64(32)).astype(np.uint32)
+        step = mix(np.arange(len(place), dtype=_U64) - np.repeat(ends - counts, counts).astype(_U64) + _U64(7))
+        run = mix(np.add.reduceat(mix(edge ^ step), ends - counts) + counts.astype(_U64))
+        same = run.view(np.int64) == listed.field("run").to_numpy()[fits]
+        node = window_hashes(words, WIDTH - 1)
+        # A run's nodes are the first 12 words of each edge, and the last 12 of its last one.
+        nodes = np.insert(node[place], ends, node[place[ends - 1] + 1])
+        whole = pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(pa.array(doc)),
+                pa.array(start),
+                listed.field("last_doc").take(pa.array(fits)),
                 pa.array(run.view(np.int64)),
                 _lists(counts, pa.array(edge.view(np.int64))),
                 _lists(counts, pa.array(check.view(np.int32))),
                 _lists(counts + 1, pa.array(nodes.view(np.int64))),
             ],
-            names=["doc_id", "start", "run", "edges", "checks", "nodes"],
+            names=["doc_id", "start", "last_doc", "run", "edges", "checks", "nodes"],
         )
+        yield whole if same.all() else whole.filter(pa.array(same))
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,24 +195,34 @@ def compact(edges: DataFrame) -> DataFrame:
     edge in and one out, and the source holds them at neighbouring places.  An edge without a link to
     the one before it begins a path.  An empty table gives an empty one.
     """
-    one, no = F.lit(1), F.lit(0)
-    into = edges.select(F.col("post").alias("node"), "origin", (F.col("at") + 1).alias("at"))
-    out = edges.select(F.col("pre").alias("node"), "origin", "at")
-    degrees = into.select("node", one.alias("ins"), no.alias("outs")).union(out.select("node", no, one))
-    plain = degrees.groupBy("node").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs")).where("ins = 1 and outs = 1")
-    linked = into.join(out, ["node", "origin", "at"]).join(plain, "node", "left_semi")
-    linked = linked.select("origin", "at", F.lit(True).alias("linked")).distinct()
+    one, no, none = F.lit(1), F.lit(0), F.lit(None)
+    into = edges.select(
+        F.col("post").alias("node"), one.alias("ins"), no.alias("outs"), F.col("origin").alias("from"),
+        (F.col("at") + 1).alias("upto"), none.cast("bigint").alias("origin"), none.cast("int").alias("at"),
+    )
+    out = edges.select(F.col("pre").alias("node"), no, one, none, none, "origin", "at")
+    # With one edge in and one out, each maximum is that edge's own place.
+    nodes = into.union(out).groupBy("node").agg(
+        F.sum("ins").alias("ins"), F.sum("outs").alias("outs"), *[F.max(c).alias(c) for c in ("from", "upto", "origin", "at")]
+    )
+    linked = nodes.where("ins = 1 and outs = 1 and `from` = origin and upto = at").select("origin", "at")
+    linked = store(linked, "linked")
     # A linked edge has its predecessor one place earlier, so its path begins at the last head before it.
     # A source's edges are no more than its words.
-    head = F.when(F.col("linked").isNull(), F.col("at"))
+    names = ["edge", "check", "origin", "at"]
+    marks = linked.select(none.cast("bigint"), none.cast("int"), "origin", "at", F.lit(True))
+    both = edges.select(*names, F.lit(False).alias("mark")).union(marks).repartition("origin")
+    both = both.withColumn("linked", F.max("mark").over(Window.partitionBy("origin", "at")))
+    head = F.when(~F.col("linked"), F.col("at"))
     before = Window.partitionBy("origin").orderBy("at")
-    return edges.join(linked, ["origin", "at"], "left").select(
-        "edge", "check", "origin", "at", F.last(head, ignorenulls=True).over(before).alias("base")
-    )
+    paths = both.withColumn("base", F.last(head, ignorenulls=True).over(before)).where("not mark").select(*names, "base")
+    paths = store(paths, "paths")
+    discard(linked)
+    return paths
 
 
 def _named_runs(docs: DataFrame) -> DataFrame:
-    """Runs of windows whose anchor two documents have: doc_id, start, run, edges, checks, nodes."""
+    """Runs of windows whose anchor two documents have: doc_id, start, n, run."""
     texts = docs.select("doc_id", F.col("text").alias("_text")).where("doc_id is not null and _text is not null")
     anchors = store(texts.mapInArrow(tidy(_anchor_rows), "doc_id bigint, anchors array<bigint>"), "anchors")
     each = anchors.select("doc_id", F.explode("anchors").alias("anchor"))
@@ -187,14 +232,31 @@ def _named_runs(docs: DataFrame) -> DataFrame:
     wanted = each.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
     wanted = store(wanted, "wanted")
     discard(anchors, shared)
-    runs = texts.join(wanted, "doc_id").mapInArrow(
-        tidy(_run_rows), "doc_id bigint, start int, run bigint, edges array<bigint>, checks array<int>, nodes array<bigint>"
-    )
-    runs = store(runs, "runs")
+    runs = store(texts.join(wanted, "doc_id").mapInArrow(tidy(_run_rows), "doc_id bigint, start int, n int, run bigint"), "runs")
     discard(wanted)
     return runs
 
 
+def _source_edges(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """Each run once, where it first stands: run, doc_id, start, last_doc, edges, checks, nodes.
+
+    The places of runs are small; what a run holds is read again in its source alone, so no copy of it is
+    stored or shuffled.
+    """
+    first = runs.groupBy("run").agg(
+        F.min(F.struct("doc_id", "start", "n")).alias("source"), F.max("doc_id").alias("last_doc")
+    ).select("run", "source.*", "last_doc")
+    # A document's runs are no more than its words.
+    sources = first.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "last_doc", "run")).alias("sources"))
+    sources = store(sources, "sources")
+    texts = docs.select("doc_id", F.col("text").alias("_text")).where("doc_id is not null and _text is not null")
+    schema = "doc_id bigint, start int, last_doc bigint, run bigint, edges array<bigint>, checks array<int>, nodes array<bigint>"
+    # Rows that repeat a doc_id bring their runs again, which neither edges nor pieces mind.
+    found = store(texts.join(sources, "doc_id").mapInArrow(tidy(_edge_rows), schema), "distinct-runs")
+    discard(sources)
+    return found
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, start, n, origin, origin_start): ``n`` windows from word ``start`` on, as in the source.
 
@@ -203,14 +265,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     under one source.
     """
     runs = _named_runs(docs)
-    # Equal runs are one, with their first place and their last document.
-    distinct = runs.groupBy("run").agg(
-        F.min(F.struct("doc_id", "start")).alias("source"), F.max("doc_id").alias("last_doc"),
-        F.first("edges").alias("edges"), F.first("checks").alias("checks"), F.first("nodes").alias("nodes"),
-    )
-    distinct = store(distinct.select("run", "source.*", "last_doc", "edges", "checks", "nodes"), "distinct-runs")
-    places = store(runs.select("doc_id", "start", "run"), "places")
-    discard(runs)
+    places = runs.select("doc_id", "start", "run")
+    distinct = _source_edges(docs, runs)
     n = F.size("edges")
     steps = F.arrays_zip(
         F.col("edges").alias("edge"), F.col("checks").alias("check"),
@@ -224,16 +280,19 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.first("pre").alias("pre"), F.first("post").alias("post"),
     )
     graph = store(graph.where("origin < last").drop("last"), "graph")
-    paths = store(compact(graph), "paths")
+    paths = compact(graph)
     discard(graph)
     known = edges.select("run", "last_doc", "i", "edge", "check").join(paths, ["edge", "check"]).where("origin < last_doc")
-    known = known.withColumn("shift", F.col("at") - F.col("i"))
+    known = store(known.select("run", "i", "origin", "base", (F.col("at") - F.col("i")).alias("shift")), "known")
+    discard(distinct, paths)
     key = ["run", "origin", "base", "shift"]
-    piece = F.col("i") - F.row_number().over(Window.partitionBy(*key).orderBy("i"))
-    pieces = known.withColumn("piece", piece).groupBy(*key, "piece").agg(F.min("i").alias("from"), F.count(F.lit(1)).alias("n"))
+    piece = F.col("i") - F.dense_rank().over(Window.partitionBy(*key).orderBy("i"))
+    pieces = known.withColumn("piece", piece).groupBy(*key, "piece").agg(
+        F.min("i").alias("from"), (F.max("i") - F.min("i") + 1).alias("n")
+    )
     pieces = pieces.groupBy("run").agg(F.collect_list(F.struct("from", "n", "origin", "shift")).alias("pieces"))
     pieces = store(pieces, "pieces")
-    discard(distinct, paths)
+    discard(known)
     # ``off`` is how much farther a piece stands in the document than in its source.
     placed = places.join(pieces, "run").select("doc_id", "start", F.explode("pieces").alias("p")).where("p.origin < doc_id")
     placed = placed.select(

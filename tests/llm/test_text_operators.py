@@ -72,6 +72,20 @@ def test_repeated_span_is_one_however_many_documents_hold_it(spark):
     assert sorted((r.doc_id, r.start, r.n, r.origin, r.origin_start) for r in got) == [(k, 20 + k, 288, 1, 21) for k in range(2, 40)]
 
 
+def test_runs_are_stored_as_places_and_read_again_in_their_source(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"a{k} b{k} " + passage + f" c{k}") for k in range(1, 30)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[4], (1, "short"), (None, passage), (40, None)], "doc_id bigint, text string")
+    runs = spans._named_runs(docs)
+    assert not [f.name for f in runs.schema if f.dataType.typeName() == "array"]
+    found = spans._source_edges(docs, runs).collect()
+    assert {r.doc_id for r in found if r.doc_id < r.last_doc == 29} == {1}
+    assert all(len(r.edges) == len(r.checks) == len(r.nodes) - 1 for r in found)
+    assert {r.run for r in found} == {r.run for r in runs.collect()}
+    got = {(r.doc_id, r.start, r.n, r.origin, r.origin_start) for r in spans.repeated_spans(docs).collect()}
+    assert got == {(k, 2, 48, 1, 2) for k in range(2, 30)}
+
+
 def test_paths_end_where_nodes_branch_and_sources_part(spark):
     # name, pre, post, origin, at: a chain of four, of which node 3 has a second way out and 7 lies elsewhere in the source.
     chain = [(1, 1, 2, 5, 10), (2, 2, 3, 5, 11), (3, 3, 4, 5, 12), (4, 4, 5, 5, 13), (9, 3, 8, 6, 40)]
