@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mairie.llm.common import components, discard, store
+from mairie.llm.common import components, discard, gathered, store
 from mairie.llm.shingles import band_rows, set_rows
 from mairie.llm.textbytes import tidy
 from mairie.session import broadcast_checked
 
 WIDTH = 5
+SET_ROWS = 500  # rows with a set that a task is given at least
 # 42 bands of 6: a pair with similarity 0.85 shares no band with probability 2e-9, one at 0.8 with 3e-6.
 BINS, BANDS = 252, 42
 
@@ -50,12 +51,12 @@ def _overlaps(percent: int):
 
 
 def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The full sets of the documents in ``ids``, made again from their texts in one pass.
+    """The full sets of the documents in ``ids`` (distinct), made again from their texts in one pass.
 
     The list of ids is measured: up to the bound of ``broadcast_checked`` it goes to the texts, which
     then stay where they are; beyond it texts and ids are shuffled once.
     """
-    wanted = docs.join(broadcast_checked(store(ids.distinct(), "ids")), "doc_id", "left_semi")
+    wanted = docs.join(broadcast_checked(ids), "doc_id", "left_semi")
     return store(wanted.mapInArrow(set_rows(WIDTH), "doc_id bigint, shingles array<bigint>"), "sets")
 
 
@@ -64,9 +65,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_y"))
     # The second join ships each pair with one set to the other; a centre's set travels once.
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "set_x", "set_y").mapInArrow(
-        _overlaps(percent), "a bigint, b bigint"
-    )
+    n = pairs.count()
+    with_x = gathered(pairs.join(x, "a"), n, SET_ROWS)
+    both = gathered(with_x.join(y, "b").select("a", "b", "set_x", "set_y"), n, SET_ROWS)
+    return both.mapInArrow(_overlaps(percent), "a bigint, b bigint")
 
 
 def _common(sets: DataFrame) -> DataFrame:
@@ -101,38 +103,44 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     key = ["set_a", "set_b", "n_shingles"]
     usable = named.where("doc_id is not null and n_shingles > 0")
-    classes = store(usable.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
+    n_rows = named.count()
+    classes = store(gathered(usable.groupBy(*key).agg(F.min("doc_id").alias("rep")), n_rows), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), *key)
-    members = usable.join(reps, ["doc_id", *key], "left_semi")
+    members = gathered(usable.join(reps, ["doc_id", *key], "left_semi"), n_rows)
     banded = members.select(F.col("doc_id").alias("rep"), "set_a", "n_shingles", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("m"))
     shared = shared.where("centre < last").select("key", "centre", "m")
-    inside = store(banded.join(shared, "key"), "buckets")  # members of buckets that hold two sets or more
+    inside = store(gathered(banded.join(shared, "key"), n_rows * BANDS), "buckets")  # members of buckets that hold two sets or more
+    n_inside = inside.count()
     star = inside.where(F.col("rep") != F.col("centre")).where(_fits("n_shingles", "m", percent))
-    star = store(star.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    star = star.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
+    star = store(gathered(star, n_inside), "stars")
     # One pass over the texts serves both rounds of comparison.
-    sets = _sets(inside.select(F.col("rep").alias("doc_id")), texts)
-    links = first = store(_confirmed(star, sets, percent), "links")
+    ids = store(gathered(inside.select(F.col("rep").alias("doc_id")).distinct(), n_inside), "ids")
+    sets = _sets(ids, texts)
+    first = store(_confirmed(star, sets, percent), "links")
 
     # What the stars leave apart: members of other components in the same bucket.
-    found = components(links)
+    found = components(first)
     part = inside.join(found, inside["rep"] == found["node"], "left").select(
         "key", "rep", "set_a", "n_shingles", F.coalesce("component", "rep").alias("part")
     )
-    sizes = part.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    part = gathered(part, n_inside)
+    sizes = gathered(part.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")), n_inside)
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"))
-    part = several = store(part.join(mixed.where("parts > 1").select("key", "main"), "key"), "mixed")
+    part = several = store(gathered(part.join(mixed.where("parts > 1").select("key", "main"), "key"), n_inside), "mixed")
     # A partner of a member is a member too, so shingles that no other member has bound what two can
     # share.  This rules most far copies of a large group out before a pair is made.
-    left = store(part.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    n_part = part.count()
+    left = store(gathered(part.select(F.col("rep").alias("doc_id")).distinct(), n_part), "ids")
     sets_left = sets.join(broadcast_checked(left), "doc_id", "left_semi")
     # A pair meets in every bucket it shares; it is made in the first one only, told by the keys before.
     # A repeated doc_id has the keys of each of its sets.
     bands = members.select(F.col("doc_id").alias("rep"), "set_a", "bands").dropDuplicates(["rep", "set_a"])
-    part = part.join(_common(sets_left).distinct(), "rep").join(bands, ["rep", "set_a"])
+    part = gathered(part.join(_common(sets_left).distinct(), "rep"), n_part).join(bands, ["rep", "set_a"])
     before = F.greatest(F.array_position("bands", F.col("key")) - 1, F.lit(0))
     earlier = F.slice("bands", F.lit(1), before.cast("int"))
-    part = store(part.withColumn("earlier", earlier).drop("bands"), "open")
+    part = store(gathered(part.withColumn("earlier", earlier).drop("bands"), n_part), "open")
     o, m = part.where("part <> main").alias("o"), part.alias("m")
     shared = F.least("o.common", "m.common")
     rest = o.join(m, "key").where(
@@ -141,19 +149,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         & ~F.arrays_overlap("o.earlier", "m.earlier")
         & (F.lit(100) * shared >= F.lit(percent) * (F.col("o.n_shingles") + F.col("m.n_shingles") - shared))
     ).select(F.greatest("o.rep", "m.rep").alias("a"), F.least("o.rep", "m.rep").alias("b")).distinct()
-    rest = store(rest.join(star, ["a", "b"], "left_anti"), "rest")
+    rest = store(gathered(rest.join(star, ["a", "b"], "left_anti"), n_inside), "rest")
     second = store(_confirmed(rest, sets, percent), "links")
-    links = links.union(second)
 
-    found = components(links)
-    joined = named.join(classes, key, "left").join(found, F.col("rep") == F.col("node"), "left")
+    # Each first component is a star already, which the further links join.
+    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
+    joined = gathered(named.join(classes, key, "left"), n_rows).join(found, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     result = joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
-    result = store(result, "near")
-    discard(named, classes, inside, star, sets, first, several, left, part, rest, second)
+    result = store(gathered(result, n_rows), "near")
+    discard(named, classes, inside, star, ids, sets, first, several, left, part, rest, second)
     return result
 
 

@@ -160,6 +160,31 @@ def test_near_duplicates(spark, texts, words):
         assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (len(sets[i]), find(i), find(i) == i)
 
 
+def test_few_rows_take_few_tasks(spark, monkeypatch):
+    """Many partitions, as of a large job, do not make many tasks of few rows."""
+    common, parts = minhash.components.__globals__, []
+    store = common["store"]
+    seen = lambda df, name, **options: parts.append(df.rdd.getNumPartitions()) or store(df, name, **options)
+    monkeypatch.setitem(common, "store", seen)
+    monkeypatch.setattr(minhash, "store", seen)
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    body = [f"w{k}" for k in range(200)]
+    # Each text is near the next one alone: 20 of 200 words are replaced from one to the next but one.
+    rows = [(k, " ".join([f"new{j}" for j in range(10 * k)] + body[10 * k :])) for k in range(12)]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a bigint, b bigint")
+        assert {tuple(r) for r in minhash.components(chain).collect()} == {(k, 0) for k in range(41)}
+        got = minhash.near_duplicates(spark.createDataFrame([*rows, (50, "apart from all")], "doc_id bigint, text string"))
+        assert {(r.doc_id, r.component_id) for r in got.collect()} == {(k, 0) for k in range(12)} | {(50, 50)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(parts) <= 2 * spark.sparkContext.defaultParallelism < 61
+
+
 def test_near_dedup_stage_takes_pairs_from_080(spark, texts, words):
     import corpus_pipeline
 
