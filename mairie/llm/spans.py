@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from mairie.llm.common import discard, store
 from mairie.llm.textbytes import buffer_of, hashed_words, mix, slices, tidy, window_hashes, word_spans
+from mairie.session import broadcast_checked
 
 WIDTH = 13
 ANCHOR = 4
@@ -57,6 +58,14 @@ def _windows(texts: pa.Array) -> tuple[np.ndarray, ...]:
     return words, at, row[inside], inside, _anchors(words)[inside]
 
 
+# Hashes hardly repeat, so a dictionary of them costs time and saves nothing.
+HASHES = ("anchors.list.element", "anchor", "run", "edges.list.element", "checks.list.element", "nodes.list.element", "edge", "check", "pre", "post", "node")
+
+
+def _store(df: DataFrame, name: str) -> DataFrame:
+    return store(df, name, **{f"parquet.enable.dictionary#{c}": "false" for c in HASHES})
+
+
 def _lists(counts: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
@@ -205,34 +214,40 @@ def compact(edges: DataFrame) -> DataFrame:
     nodes = into.union(out).groupBy("node").agg(
         F.sum("ins").alias("ins"), F.sum("outs").alias("outs"), *[F.max(c).alias(c) for c in ("from", "upto", "origin", "at")]
     )
-    linked = nodes.where("ins = 1 and outs = 1 and `from` = origin and upto = at").select("origin", "at")
-    linked = store(linked, "linked")
+    linked = F.expr("ins = 1 and outs = 1 and `from` = origin and upto = at")
+    # Most edges are linked, so the others are noted: the heads of paths.  A node with one edge out has that edge's
+    # place; those with more are looked up.
+    ends = store(nodes.where(F.col("outs") > 0).where(~F.coalesce(linked, F.lit(False))).select("node", "outs", "origin", "at"), "ends")
+    several = broadcast_checked(ends.where("outs > 1").select("node"))
+    heads = ends.where("outs = 1").select("origin", "at").union(
+        edges.join(several, F.col("pre") == F.col("node"), "left_semi").select("origin", "at")
+    )
     # A linked edge has its predecessor one place earlier, so its path begins at the last head before it.
     # A source's edges are no more than its words.
     names = ["edge", "check", "origin", "at"]
-    marks = linked.select(none.cast("bigint"), none.cast("int"), "origin", "at", F.lit(True))
+    marks = heads.select(none.cast("bigint"), none.cast("int"), "origin", "at", F.lit(True))
     both = edges.select(*names, F.lit(False).alias("mark")).union(marks).repartition("origin")
-    both = both.withColumn("linked", F.max("mark").over(Window.partitionBy("origin", "at")))
-    head = F.when(~F.col("linked"), F.col("at"))
-    before = Window.partitionBy("origin").orderBy("at")
-    paths = both.withColumn("base", F.last(head, ignorenulls=True).over(before)).where("not mark").select(*names, "base")
-    paths = store(paths, "paths")
-    discard(linked)
+    head = F.when(F.col("mark"), F.col("at"))
+    before = Window.partitionBy("origin").orderBy("at")  # rows at the same place included
+    paths = both.withColumn("base", F.max(head).over(before)).where("not mark").select(*names, "base")
+    paths = _store(paths, "paths")
+    discard(ends)
     return paths
 
 
 def _named_runs(docs: DataFrame) -> DataFrame:
     """Runs of windows whose anchor two documents have: doc_id, start, n, run."""
     texts = docs.select("doc_id", F.col("text").alias("_text")).where("doc_id is not null and _text is not null")
-    anchors = store(texts.mapInArrow(tidy(_anchor_rows), "doc_id bigint, anchors array<bigint>"), "anchors")
+    anchors = _store(texts.mapInArrow(tidy(_anchor_rows), "doc_id bigint, anchors array<bigint>"), "anchors")
     each = anchors.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = store(shared.where("low < high").select("anchor"), "shared")
-    # At most one document's anchors meet here.
-    wanted = each.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
+    # At most one document's anchors meet here.  Rows are dealt by document before they become lists: a list begun
+    # elsewhere would hold one or two.
+    wanted = each.join(shared, "anchor").repartition("doc_id").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
     wanted = store(wanted, "wanted")
     discard(anchors, shared)
-    runs = store(texts.join(wanted, "doc_id").mapInArrow(tidy(_run_rows), "doc_id bigint, start int, n int, run bigint"), "runs")
+    runs = _store(texts.join(wanted, "doc_id").mapInArrow(tidy(_run_rows), "doc_id bigint, start int, n int, run bigint"), "runs")
     discard(wanted)
     return runs
 
@@ -247,12 +262,12 @@ def _source_edges(docs: DataFrame, runs: DataFrame) -> DataFrame:
         F.min(F.struct("doc_id", "start", "n")).alias("source"), F.max("doc_id").alias("last_doc")
     ).select("run", "source.*", "last_doc")
     # A document's runs are no more than its words.
-    sources = first.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "last_doc", "run")).alias("sources"))
+    sources = first.repartition("doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "last_doc", "run")).alias("sources"))
     sources = store(sources, "sources")
     texts = docs.select("doc_id", F.col("text").alias("_text")).where("doc_id is not null and _text is not null")
     schema = "doc_id bigint, start int, last_doc bigint, run bigint, edges array<bigint>, checks array<int>, nodes array<bigint>"
     # Rows that repeat a doc_id bring their runs again, which neither edges nor pieces mind.
-    found = store(texts.join(sources, "doc_id").mapInArrow(tidy(_edge_rows), schema), "distinct-runs")
+    found = _store(texts.join(sources, "doc_id").mapInArrow(tidy(_edge_rows), schema), "distinct-runs")
     discard(sources)
     return found
 
@@ -267,27 +282,25 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     runs = _named_runs(docs)
     places = runs.select("doc_id", "start", "run")
     distinct = _source_edges(docs, runs)
-    n = F.size("edges")
-    steps = F.arrays_zip(
-        F.col("edges").alias("edge"), F.col("checks").alias("check"),
-        F.slice("nodes", F.lit(1), n).alias("pre"), F.slice("nodes", F.lit(2), n).alias("post"),
-    )
-    edges = distinct.select("run", "doc_id", "start", "last_doc", F.posexplode(steps).alias("i", "e")).select(
-        "run", "doc_id", "last_doc", "i", (F.col("start") + F.col("i")).alias("at"), "e.*"
+    i = F.col("i")
+    edges = distinct.select("*", F.posexplode("edges").alias("i", "edge")).select(
+        "run", "doc_id", "last_doc", "i", (F.col("start") + i).alias("at"), "edge", F.get("checks", i).alias("check"),
+        F.get("nodes", i).alias("pre"), F.get("nodes", i + 1).alias("post"),
     )
     graph = edges.groupBy("edge", "check").agg(
         F.min("doc_id").alias("origin"), F.min_by("at", "doc_id").alias("at"), F.max("last_doc").alias("last"),
         F.first("pre").alias("pre"), F.first("post").alias("post"),
     )
-    graph = store(graph.where("origin < last").drop("last"), "graph")
+    graph = _store(graph.where("origin < last").drop("last"), "graph")
     paths = compact(graph)
     discard(graph)
     known = edges.select("run", "last_doc", "i", "edge", "check").join(paths, ["edge", "check"]).where("origin < last_doc")
-    known = store(known.select("run", "i", "origin", "base", (F.col("at") - F.col("i")).alias("shift")), "known")
+    known = _store(known.select("run", "i", "origin", "base", (F.col("at") - F.col("i")).alias("shift")), "known")
     discard(distinct, paths)
     key = ["run", "origin", "base", "shift"]
     piece = F.col("i") - F.dense_rank().over(Window.partitionBy(*key).orderBy("i"))
-    pieces = known.withColumn("piece", piece).groupBy(*key, "piece").agg(
+    # What stands in one run is no more than a document's words, and serves each of the steps up to the lists.
+    pieces = known.repartition("run").withColumn("piece", piece).groupBy(*key, "piece").agg(
         F.min("i").alias("from"), (F.max("i") - F.min("i") + 1).alias("n")
     )
     pieces = pieces.groupBy("run").agg(F.collect_list(F.struct("from", "n", "origin", "shift")).alias("pieces"))

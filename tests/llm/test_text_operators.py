@@ -97,6 +97,17 @@ def test_paths_end_where_nodes_branch_and_sources_part(spark):
     assert spans.compact(edges.limit(0)).count() == 0
 
 
+def test_compaction_stores_heads_alone(spark, monkeypatch):
+    stored, store = {}, spans.store
+    monkeypatch.setattr(spans, "store", lambda df, name, **options: stored.setdefault(name, store(df, name, **options)))
+    monkeypatch.setattr(spans, "discard", lambda *frames: None)
+    schema = "edge bigint, check int, pre bigint, post bigint, origin bigint, at int"
+    chain = [(k, 0, k, k + 1, 5, k) for k in range(500)]
+    got = spans.compact(spark.createDataFrame([*chain, (900, 0, 250, 800, 6, 3), (901, 0, 250, 801, 6, 9)], schema)).collect()
+    assert {(r.edge, r.base) for r in got} == {(k, 250 * (k >= 250)) for k in range(500)} | {(900, 3), (901, 9)}
+    assert sum(df.count() for name, df in stored.items() if name != "paths") < 10
+
+
 def test_line_quality_counts(spark, texts, words):
     got = run(spark, "op9_line_quality")
     for i, text in texts.items():
