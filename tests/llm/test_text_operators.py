@@ -427,6 +427,21 @@ def test_limits_follow_the_demanded_recall():
     assert net.false_rates[2] == (plain >= net.limits[2]).mean() > 0
 
 
+def test_network_learns_from_every_document(spark, monkeypatch):
+    """Keys that only documents late in any order hold are learnt, whatever the shards and partitions."""
+    ids = [r.id for r in spark.range(6_300).orderBy(F.xxhash64("id")).collect()]
+    key = lambda k: "AKIA" + hashlib.sha256(str(k).encode()).hexdigest().upper()[:16]
+    rows = [(i, f"ordinary words number{i % 50} of a text " + (key(k) if k > 6_200 else "without")) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame([*rows, (7_000, "password: " + "x9" * 8), (None, None)], "doc_id bigint, text string")
+    monkeypatch.setattr(secrets, "SHARD", 120)
+    net = secrets.fit(docs)
+    scores = net.judge([secrets._windows(f"ordinary words number7 of a text {key(-k)}", 33, 53) for k in range(1, 41)])
+    assert np.isfinite(net.limits[1]) and (scores[:, 2] >= net.limits[1]).mean() >= 0.9
+    assert net.false_rates.shape == (3,) and net.false_rates[1] < 0.1
+    again = secrets.fit(docs.union(docs).repartition(5))
+    assert (again.numbers() == net.numbers()).all() and (again.limits == net.limits).all()
+
+
 def test_every_candidate_is_looked_at():
     text = "pwd = correcthorsebattery, id: 123456789012 and AbCdEfGhIjKlMnOpQrStUvWx; password = hunter2x"
     found = [text[a:b] for a, b in secrets.candidates(text, secrets.base_spans(text))]
