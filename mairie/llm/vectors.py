@@ -11,9 +11,11 @@ threshold, the hardest links there are, must fall within it with the target prob
 counts when either of its vectors visits the other, so what is missed is about the square of that.
 
 Equal vectors are collapsed first by an aggregate with map-side combine.  A cell's homes and
-visitors are cut into blocks, and every block pair is one matrix product in some task, so a hot
-cell is spread over many tasks and none holds it whole.  A block yields per-vector counts and a
-forest that connects its links, never its pairs.
+visitors are cut into blocks, and every block pair is some task's work, so a hot cell is spread
+over many tasks and none holds it whole.  A task multiplies at most PART by PART vectors at once
+and keeps their links as one boolean matrix: what it holds does not grow with the links, however
+near all vectors of a cell are.  A block yields per-vector counts and a forest that connects its
+links, never its pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from mairie.llm.common import components, discard, store
 
 SAMPLE = 20_000  # vectors that the codebooks and the limit are fitted on; all are indexed
 PROBES = 2_000  # turned vectors, at least, that set the limit
-BLOCK = 1_024
+PART = 1_024  # homes and visitors of one matrix product
+BLOCK_VALUES = 1 << 18  # components of the homes, or visitors, of a block; a part is the least block
 RECALL = 0.9995
 
 
@@ -40,8 +43,8 @@ class MultiIndex:
     def __init__(self, sample: np.ndarray, size: int, threshold: float, recall: float = RECALL, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.half = sample.shape[1] // 2
-        self.books = [self._codebook(part, size, rng) for part in self._halves(sample)]
-        gaps = [((b[:, None] - b[None]) ** 2).sum(axis=2) ** 0.5 for b in self.books]
+        self.books = [self._codebook(part, size, np.sqrt(max(0.0, 2 - 2 * threshold)), rng) for part in self._halves(sample)]
+        gaps = [np.stack([((row - b) ** 2).sum(axis=1) for row in b]) ** 0.5 for b in self.books]
         self.gaps = [np.maximum(g, 1e-12) for g in gaps]
         # A small sample is turned more than once, so that a few vectors do not decide by chance.
         probes = np.resize(sample, (max(len(sample), PROBES if len(sample) else 0), sample.shape[1]))
@@ -49,18 +52,30 @@ class MultiIndex:
         turned -= (turned * probes).sum(axis=1, keepdims=True) * probes
         turned /= np.maximum(np.linalg.norm(turned, axis=1, keepdims=True), 1e-12)
         other = threshold * probes + np.sqrt(max(0.0, 1 - threshold**2)) * turned
-        need = self.squares(probes, self.home(other))
-        self.limit = float(np.quantile(need, recall, method="higher")) if len(need) else 0.0
+        parts = [slice(at, at + PART) for at in range(0, len(probes), PART)]
+        need = np.concatenate([np.empty(0), *(self.squares(probes[p], self.home(other[p])) for p in parts)])
+        # The limit is some vector's distance.  A little more, as products of other shapes differ in the last digits.
+        self.limit = float(np.quantile(need, recall, method="higher")) * (1 + 1e-9) if len(need) else 0.0
 
     def _halves(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, : self.half], x[:, self.half :]]
 
     @staticmethod
-    def _codebook(x: np.ndarray, size: int, rng) -> np.ndarray:
-        distinct = np.unique(np.round(x, 6), axis=0)  # codewords closer than that would tell nothing apart
-        book = distinct[rng.permutation(len(distinct))[:size]].copy()
+    def _codebook(x: np.ndarray, size: int, apart: float, rng) -> np.ndarray:
+        """``size`` codewords at most.  They begin ``apart``, for between closer ones linked vectors visit them all."""
+        distinct = np.unique(np.round(x, 6), axis=0)
+        book = np.empty((min(size, len(distinct)), x.shape[1]))
+        n = 0
+        for row in distinct[rng.permutation(len(distinct))]:
+            if n == len(book):
+                break
+            if (((book[:n] - row) ** 2).sum(axis=1) >= max(apart**2, 1e-12)).all():
+                book[n] = row
+                n += 1
+        book = book[:n]
+        parts = [slice(at, at + PART) for at in range(0, len(x), PART)]
         for _ in range(12):
-            near = np.argmin((book**2).sum(axis=1) - 2 * x @ book.T, axis=1)
+            near = np.concatenate([np.argmin((book**2).sum(axis=1) - 2 * x[p] @ book.T, axis=1) for p in parts])
             count = np.bincount(near, minlength=len(book))
             total = np.zeros_like(book)
             np.add.at(total, near, x)
@@ -86,13 +101,15 @@ class MultiIndex:
         row = np.arange(len(x))
         return a[row, cells // len(self.books[1])] ** 2 + b[row, cells % len(self.books[1])] ** 2
 
-    def _walk(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[float, int]]:
+    def _walk(self, a: np.ndarray, b: np.ndarray, limit: float = np.inf) -> Iterator[tuple[float, int]]:
         """Squared distance and number of each cell, nearest first, from the squared distances to both books' codewords.
 
-        Both lists are sorted.  A heap holds the cells on the border of those seen: a cell brings the
-        next codeword of the second list, and one in the first column also that of the first list.
+        Both lists are sorted, without codewords that are beyond the limit with each of the other list.
+        A heap holds the cells on the border of those seen: a cell brings the next codeword of the
+        second list, and one in the first column also that of the first list.
         """
-        first, second = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+        first, second = np.flatnonzero(a + b.min() <= limit), np.flatnonzero(a.min() + b <= limit)
+        first, second = first[np.argsort(a[first], kind="stable")], second[np.argsort(b[second], kind="stable")]
         near, far = a[first].tolist(), b[second].tolist()
         border = [(near[0] + far[0], 0, 0)]
         while border:
@@ -107,7 +124,7 @@ class MultiIndex:
         """The cells each row visits, nearest first: it stops at the first one beyond the limit."""
         for a, b in zip(*self.margins(x), strict=True):
             cells = []
-            for distance, cell in self._walk(a**2, b**2):
+            for distance, cell in self._walk(a**2, b**2, self.limit):
                 if distance > self.limit:
                     break
                 cells.append(cell)
@@ -162,6 +179,61 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return [(int(nodes[k]), int(nodes[r])) for k, r in enumerate(low) if k != r]
 
 
+def _tree(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the true cells, one fewer than nodes, that connect what all true cells connect.
+
+    From a row to its columns, from them to their rows and so on: each row and column is read once.
+    """
+    rows_left, columns_left = link.any(axis=1), link.any(axis=0)
+    a, b = [], []
+    for root in np.flatnonzero(rows_left):
+        rows = np.array([root])[rows_left[root : root + 1]]
+        rows_left[rows] = False
+        while len(rows):
+            reached = link[rows] & columns_left
+            columns = np.flatnonzero(reached.any(axis=0))
+            if not len(columns):
+                break
+            a.append(rows[reached[:, columns].argmax(axis=0)])
+            b.append(columns)
+            columns_left[columns] = False
+            reached = link[:, columns] & rows_left[:, None]
+            rows = np.flatnonzero(reached.any(axis=1))
+            a.append(rows)
+            b.append(columns[reached[rows].argmax(axis=1)])
+            rows_left[rows] = False
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
+def _links(index: MultiIndex, threshold: float, rows: pa.Table, part: int = PART) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links to count for each row of a block, and the edges of its forest, taken ``part`` homes by ``part`` visitors."""
+    visitor = rows["visitor"].to_numpy()
+    vectors = rows["embedding"].combine_chunks()
+    keys, ids, n = (rows[name].to_numpy() for name in ("key", "id", "n"))
+    links, edges = np.zeros(len(ids), np.int64), [(np.empty(0, np.int64),) * 2]
+    visits, homes = ([w[at : at + part] for at in range(0, len(w), part)] for w in map(np.flatnonzero, (visitor, ~visitor)))
+    for h in homes:
+        there = _matrix(vectors.take(pa.array(h)))
+        for p in visits:
+            here = _matrix(vectors.take(pa.array(p)))
+            link = here @ there.T >= threshold
+            link &= keys[p][:, None] != keys[h]
+            some, other = link.any(axis=1), link.any(axis=0)
+            if not some.any():
+                continue
+            link, u, v = link[some][:, other], p[some], h[other]
+            links[u] += link @ n[v]
+            # The home vector counts the pair itself if it visits the visitor's home; else here.
+            cells = index.home(here[some])
+            one, two = (m**2 for m in index.margins(there[other]))
+            far = one[:, cells // len(index.books[1])] + two[:, cells % len(index.books[1])] > index.limit
+            links[v] += (link.T & far) @ n[u]
+            a, b = _tree(link)
+            edges.append((ids[u[a]], ids[v[b]]))
+    return links, _forest(*map(np.concatenate, zip(*edges, strict=True)))
+
+
 def _verify(index: MultiIndex, threshold: float):
     """mapInArrow over rows sorted by block: link counts (key, links) and forest edges (a, b), the others null."""
 
@@ -169,23 +241,11 @@ def _verify(index: MultiIndex, threshold: float):
         visitor = rows["visitor"].to_numpy()
         if visitor.all() or not visitor.any():
             return []
-        x = _matrix(rows["embedding"].combine_chunks())
-        keys, ids, n = (rows[name].to_numpy() for name in ("key", "id", "n"))
-        p, h = np.flatnonzero(visitor), np.flatnonzero(~visitor)
-        a, b = np.nonzero(x[p] @ x[h].T >= threshold)
-        a, b = p[a], h[b]
-        other = keys[a] != keys[b]
-        a, b = a[other], b[other]
-        if not len(a):
-            return []
-        # The home vector counts the pair itself if it visits the visitor's home; else here.
-        unseen = index.squares(x[b], index.home(x[a])) > index.limit
-        links = np.zeros(len(ids), np.int64)
-        np.add.at(links, a, n[b])
-        np.add.at(links, b[unseen], n[a[unseen]])
+        links, edges = _links(index, threshold, rows)
         found = np.flatnonzero(links)
-        out = [(int(keys[k]), int(links[k]), None, None) for k in found]
-        return out + [(None, None, u, v) for u, v in _forest(ids[a], ids[b])]
+        keys = rows["key"].to_numpy()[found]
+        out = [(k, n, None, None) for k, n in zip(keys.tolist(), links[found].tolist(), strict=True)]
+        return out + [(None, None, u, v) for u, v in edges]
 
     key = ["cell", "home_block", "visit_block"]
     schema = pa.schema([(name, pa.int64()) for name in ("key", "links", "a", "b")])
@@ -215,11 +275,25 @@ def _verify(index: MultiIndex, threshold: float):
     return run
 
 
-def _linked(classes: DataFrame, threshold: float, block: int) -> DataFrame:
+def _sample(classes: DataFrame, total: int) -> pa.Table:
+    """The vectors whose ids have the least hashes; those far above the least are not sorted or handed on."""
+    hashed = F.xxhash64("id")
+    bound = int(2**64 * min(1, 2 * SAMPLE / max(1, total))) - 2**63
+    for few in classes.where(hashed < bound) if bound < 2**63 else classes, classes:
+        sample = few.orderBy(hashed, "id").limit(SAMPLE).select("embedding").toArrow()
+        if sample.num_rows == min(SAMPLE, total):
+            break
+    return sample
+
+
+def _linked(classes: DataFrame, threshold: float, dim: int, block: int | None) -> DataFrame:
     """(key, links, a, b) over the distinct vectors of one dimension (columns key, id, label, n, embedding)."""
-    total = classes.count()
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("embedding").toArrow()
-    size = int(np.clip(np.ceil(np.sqrt(total / 64)), 4, 1024))
+    block = block or max(PART, BLOCK_VALUES // dim)
+    # A cell is shared out by label: what counts is how many vectors a vector has in its own label, on average.
+    labels = classes.groupBy("label").count().agg(F.sum("count"), F.sum(F.col("count").cast("double") ** 2)).first()
+    total, alike = labels[0], labels[1] / labels[0]
+    sample = _sample(classes, total)
+    size = int(np.clip(np.ceil(np.sqrt(alike / 64)), 4, 1024))
     index = MultiIndex(_matrix(sample["embedding"].combine_chunks()), size, threshold)
     # Visits are keys; a vector travels once to them and from there to its blocks.
     entries = classes.mapInArrow(_entries(index), "key bigint, label string, visitor boolean, cell bigint")
@@ -249,7 +323,7 @@ def _linked(classes: DataFrame, threshold: float, block: int) -> DataFrame:
     return found
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int = BLOCK) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label).
 
     Only vectors with equal, non-null labels and equal length are compared.  Null, empty and zero
@@ -270,7 +344,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int = BLOCK
     classes = store(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
     found = None
     for (dim,) in classes.select(F.size("embedding")).distinct().collect():  # few: one per embedding model
-        part = _linked(classes.where(F.size("embedding") == dim), threshold, block)
+        part = _linked(classes.where(F.size("embedding") == dim), threshold, dim, block)
         found = part if found is None else found.union(part)
     if found is None:
         found = classes.select("key", F.col("n").alias("links"), F.col("id").alias("a"), F.col("id").alias("b")).limit(0)

@@ -2,8 +2,10 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,3 +118,89 @@ def test_vectors_under_one_id_are_counted_apart(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (2, [1.0, 0.12], 1), (3, [0.0, 1.0], 1)]
     got = sorted(map(tuple, vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()))
     assert got == [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True)]
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def near_block(n):
+    """An index, ``n`` vectors that nearly all link, and the rows of the block in which each is home and visitor."""
+    rng = np.random.default_rng(4)
+    x = unit(unit(rng.normal(size=(1, 64))) + rng.normal(scale=0.015, size=(n, 64)))
+    index = vectors.MultiIndex(np.concatenate([unit(rng.normal(size=(3000, 64))), x[:30]]), 64, 0.98)
+    order = np.arange(n)
+    rows = pa.table({
+        "key": np.tile(order, 2), "label": ["a"] * (2 * n), "visitor": np.repeat([False, True], n), "cell": np.zeros(2 * n, np.int64),
+        "home_block": np.zeros(2 * n, np.int32), "visit_block": np.zeros(2 * n, np.int32), "id": np.tile(order * 2, 2), "n": np.tile(order % 3 + 1, 2),
+        "embedding": pa.array([*x.tolist()] * 2),
+    })
+    return index, x, rows
+
+
+def test_memory_of_a_block_whose_vectors_all_link():
+    n = 700
+    index, x, rows = near_block(n)
+    link = x @ x.T >= 0.98
+    np.fill_diagonal(link, False)
+    assert link.mean() > 0.9
+    visited = np.array([index.squares(x, np.full(n, cell)) <= index.limit for cell in index.home(x)])
+    # A visitor counts the homes, and a home the visitors whose cells it does not visit.
+    want = link @ (np.arange(n) % 3 + 1) + (link & ~visited.T) @ (np.arange(n) % 3 + 1)
+    tracemalloc.start()
+    found = pa.Table.from_batches(vectors._verify(index, 0.98)(rows.to_batches())).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert {r["key"]: r["links"] for r in found if r["key"] is not None} == {k: v for k, v in enumerate(want.tolist()) if v}
+    edges = [(r["a"], r["b"]) for r in found if r["key"] is None]
+    assert {a for a, _ in edges} == set(range(2, 2 * n, 2)) and {b for _, b in edges} == {0}
+
+
+def test_parts_of_a_block_give_what_the_whole_gives():
+    index, _, rows = near_block(150)
+    whole, edges = vectors._links(index, 0.99, rows)
+    assert whole.any()
+    for part in (1, 7, 64):
+        links, other = vectors._links(index, 0.99, rows, part)
+        assert (links == whole).all() and sorted(other) == sorted(edges)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.01, 0.03, 0.1, 1.0])
+def test_tree_connects_what_links_connect(share):
+    rng = np.random.default_rng(int(share * 100))
+    for shape in [(1, 1), (40, 60), (60, 3), (0, 4)]:
+        link = rng.random(shape) < share
+        a, b = vectors._tree(link)
+        assert link[a, b].all()
+
+        def groups(u, v):
+            low = np.arange(sum(shape))
+            for _ in range(len(low)):
+                least = np.minimum(low[u], low[v + shape[0]])
+                np.minimum.at(low, u, least)
+                np.minimum.at(low, v + shape[0], least)
+            return low
+
+        assert (groups(a, b) == groups(*np.nonzero(link))).all()
+        assert len(a) == sum(shape) - len(set(groups(a, b)))
+
+
+def test_a_near_group_does_not_fill_the_codebooks():
+    rng = np.random.default_rng(5)
+    group = unit(unit(rng.normal(size=(1, 64))) + rng.normal(scale=0.0135, size=(600, 64)))
+    index = vectors.MultiIndex(np.concatenate([unit(rng.normal(size=(1400, 64))), group]), 100, 0.98)
+    # Else a third of the codewords lie among its vectors, and each of these visits hundreds of cells.
+    assert [len(book) for book in index.books] == [100, 100]
+    assert max(map(len, index.visits(group[:50]))) < 40
+
+
+def test_sample_is_what_sorting_all_gives(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE", 50)
+    rows = spark.createDataFrame([(i, [float(i)]) for i in range(3000)], "id bigint, embedding array<double>")
+    for classes in (rows, rows.limit(49), rows.selectExpr("case when id < 2900 then 3001 else id end as id", "embedding")):
+        got = [v for (v,) in vectors._sample(classes, classes.count())["embedding"].to_pylist()]
+        want = classes.selectExpr("id", "xxhash64(id) as h", "embedding[0] as v").orderBy("h", "id").limit(50).collect()
+        if classes.select("id").distinct().count() > 200:
+            assert got == [r.v for r in want]
+        assert len(got) == len(want)
