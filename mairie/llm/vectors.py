@@ -101,20 +101,22 @@ class MultiIndex:
         row = np.arange(len(x))
         return a[row, cells // len(self.books[1])] ** 2 + b[row, cells % len(self.books[1])] ** 2
 
-    def _walk(self, a: np.ndarray, b: np.ndarray, limit: float = np.inf) -> Iterator[tuple[float, int]]:
-        """Squared distance and number of each cell, nearest first, from the squared distances to both books' codewords.
+    def _walk(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[float, int]]:
+        """Squared distance and number of each cell, nearest first, from the squared distances to both books' codewords."""
+        first, second = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+        return self._merged(a[first].tolist(), b[second].tolist(), (first * len(b)).tolist(), second.tolist())
+
+    @staticmethod
+    def _merged(near: list[float], far: list[float], first: list[int], second: list[int]) -> Iterator[tuple[float, int]]:
+        """Sums of an item of ``near`` and one of ``far``, both sorted, least first, with the sums of their numbers.
 
-        Both lists are sorted, without codewords that are beyond the limit with each of the other list.
         A heap holds the cells on the border of those seen: a cell brings the next codeword of the
         second list, and one in the first column also that of the first list.
         """
-        first, second = np.flatnonzero(a + b.min() <= limit), np.flatnonzero(a.min() + b <= limit)
-        first, second = first[np.argsort(a[first], kind="stable")], second[np.argsort(b[second], kind="stable")]
-        near, far = a[first].tolist(), b[second].tolist()
         border = [(near[0] + far[0], 0, 0)]
         while border:
             distance, i, j = heapq.heappop(border)
-            yield distance, int(first[i]) * len(b) + int(second[j])
+            yield distance, first[i] + second[j]
             if j + 1 < len(far):
                 heapq.heappush(border, (near[i] + far[j + 1], i, j + 1))
             if j == 0 and i + 1 < len(near):
@@ -122,9 +124,15 @@ class MultiIndex:
 
     def visits(self, x: np.ndarray) -> Iterator[list[int]]:
         """The cells each row visits, nearest first: it stops at the first one beyond the limit."""
-        for a, b in zip(*self.margins(x), strict=True):
+        squares = [m**2 for m in self.margins(x)]
+        orders = [np.argsort(s, axis=1, kind="stable") for s in squares]
+        a, b = (np.take_along_axis(s, o, axis=1) for s, o in zip(squares, orders, strict=True))
+        # A codeword beyond the limit with the nearest one of the other half is in no cell to visit.
+        ends = zip((a + b[:, :1] <= self.limit).sum(axis=1).tolist(), (a[:, :1] + b <= self.limit).sum(axis=1).tolist(), strict=True)
+        orders[0] *= len(self.books[1])
+        for near, far, first, second, (m, n) in zip(a, b, *orders, ends, strict=True):
             cells = []
-            for distance, cell in self._walk(a**2, b**2, self.limit):
+            for distance, cell in self._merged(near[:m].tolist(), far[:n].tolist(), first[:m].tolist(), second[:n].tolist()):
                 if distance > self.limit:
                     break
                 cells.append(cell)
@@ -348,15 +356,17 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int | None
         found = part if found is None else found.union(part)
     if found is None:
         found = classes.select("key", F.col("n").alias("links"), F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    hashed = F.xxhash64("label", "embedding")
     counts = found.where("a is null").groupBy(F.col("key").alias("_c")).agg(F.sum("links").alias("links"))
     parts = components(found.where("a is not null").select("a", "b"))
     classes = classes.join(counts, F.col("key") == F.col("_c"), "left").join(parts, F.col("id") == F.col("node"), "left")
     classes = classes.select(
-        F.col("label").alias("_label"), F.col("embedding").alias("_vector"),
+        F.col("label").alias("_label"), F.col("embedding").alias("_vector"), hashed.alias("_hash"),
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"),
         F.coalesce("component", "id").alias("_component"),
     )
-    same = F.col("_good") & (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_vector"))
+    # Sorted by one number first; vectors are compared where it is equal.
+    same = F.col("_good") & (hashed == F.col("_hash")) & (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_vector"))
     joined = rows.join(classes, same, "left")
     component = F.coalesce("_component", "vec_id")
     return joined.select(
