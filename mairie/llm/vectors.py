@@ -22,18 +22,22 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from mairie.llm.common import components, discard, store
 
 SAMPLE = 20_000  # vectors that the codebooks and the limit are fitted on; all are indexed
 PROBES = 2_000  # turned vectors, at least, that set the limit
 PART = 1_024  # homes and visitors of one matrix product
-BLOCK_VALUES = 1 << 18  # components of the homes, or visitors, of a block; a part is the least block
+BLOCK_VALUES = 1 << 19  # components of the homes, or visitors, of a block; a part is the least block
 RECALL = 0.9995
 
 
@@ -148,24 +152,32 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _entries(index: MultiIndex):
-    """mapInArrow function: (key, label, embedding) to (key, label, visitor, cell), one home row and the visiting rows."""
+def _places(index: MultiIndex):
+    """mapInArrow function: adds where each vector is home and what it visits, (visitor, strip, cells) for each strip.
+
+    A strip is all cells of one codeword of the first half; a vector goes once to each.
+    """
+    across = len(index.books[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 x = _matrix(batch.column("embedding"))
-                home = index.home(x)
                 cells = list(index.visits(x))
-                row = np.repeat(np.arange(len(x)), [len(c) for c in cells])
-                row = np.concatenate([np.arange(len(x)), row])
-                cell = np.concatenate([home, *map(np.array, cells)]).astype(np.int64)
-                visitor = np.arange(len(row)) >= len(x)
-                take = pa.array(row)
-                columns = [batch.column(n).take(take) for n in ("key", "label")]
+                row = np.arange(len(x))
+                of = np.concatenate([row, np.repeat(row, [len(c) for c in cells])])
+                cell = np.concatenate([index.home(x), *map(np.array, cells)]).astype(np.int32)
+                visitor = np.arange(len(of)) >= len(x)
+                order = np.lexsort((cell // across, visitor, of))
+                of, cell, visitor = of[order], cell[order], visitor[order]
+                names = np.stack([of, visitor, cell // across])
+                starts = np.concatenate([[0], np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(cell)), pa.int32()), pa.array(cell))
+                place = pa.StructArray.from_arrays([pa.array(visitor[starts]), pa.array(cell[starts] // across), lists], ["visitor", "strip", "cells"])
+                ends = np.searchsorted(of[starts], np.arange(len(x) + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(visitor), pa.array(cell)], names=["key", "label", "visitor", "cell"]
+                    [*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), place)], names=[*batch.schema.names, "places"]
                 )
 
     return run
@@ -215,30 +227,33 @@ def _tree(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _links(index: MultiIndex, threshold: float, rows: pa.Table, part: int = PART) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Links to count for each row of a block, and the edges of its forest, taken ``part`` homes by ``part`` visitors."""
+    """Links to count for each row of a block, and the edges of its forest; a cell is taken ``part`` homes by ``part`` visitors."""
     visitor = rows["visitor"].to_numpy()
-    vectors = rows["embedding"].combine_chunks()
+    x = _matrix(rows["embedding"].combine_chunks())
     keys, ids, n = (rows[name].to_numpy() for name in ("key", "id", "n"))
     links, edges = np.zeros(len(ids), np.int64), [(np.empty(0, np.int64),) * 2]
-    visits, homes = ([w[at : at + part] for at in range(0, len(w), part)] for w in map(np.flatnonzero, (visitor, ~visitor)))
-    for h in homes:
-        there = _matrix(vectors.take(pa.array(h)))
-        for p in visits:
-            here = _matrix(vectors.take(pa.array(p)))
-            link = here @ there.T >= threshold
-            link &= keys[p][:, None] != keys[h]
-            some, other = link.any(axis=1), link.any(axis=0)
-            if not some.any():
-                continue
-            link, u, v = link[some][:, other], p[some], h[other]
-            links[u] += link @ n[v]
-            # The home vector counts the pair itself if it visits the visitor's home; else here.
-            cells = index.home(here[some])
-            one, two = (m**2 for m in index.margins(there[other]))
-            far = one[:, cells // len(index.books[1])] + two[:, cells % len(index.books[1])] > index.limit
-            links[v] += (link.T & far) @ n[u]
-            a, b = _tree(link)
-            edges.append((ids[u[a]], ids[v[b]]))
+    lists = rows["cells"].combine_chunks()
+    cell, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+    order = np.argsort(cell, kind="stable")
+    for members in np.split(row[order], np.flatnonzero(np.diff(cell[order])) + 1):
+        guest = visitor[members]
+        visits, homes = ([w[at : at + part] for at in range(0, len(w), part)] for w in (members[guest], members[~guest]))
+        for h in homes:
+            for p in visits:
+                link = x[p] @ x[h].T >= threshold
+                link &= keys[p][:, None] != keys[h]
+                some, other = link.any(axis=1), link.any(axis=0)
+                if not some.any():
+                    continue
+                link, u, v = link[some][:, other], p[some], h[other]
+                links[u] += link @ n[v]
+                # The home vector counts the pair itself if it visits the visitor's home; else here.
+                theirs = index.home(x[u])
+                one, two = (m**2 for m in index.margins(x[v]))
+                far = one[:, theirs // len(index.books[1])] + two[:, theirs % len(index.books[1])] > index.limit
+                links[v] += (link.T & far) @ n[u]
+                a, b = _tree(link)
+                edges.append((ids[u[a]], ids[v[b]]))
     return links, _forest(*map(np.concatenate, zip(*edges, strict=True)))
 
 
@@ -255,7 +270,7 @@ def _verify(index: MultiIndex, threshold: float):
         out = [(k, n, None, None) for k, n in zip(keys.tolist(), links[found].tolist(), strict=True)]
         return out + [(None, None, u, v) for u, v in edges]
 
-    key = ["cell", "home_block", "visit_block"]
+    key = ["strip", "home_block", "visit_block"]
     schema = pa.schema([(name, pa.int64()) for name in ("key", "links", "a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,40 +309,50 @@ def _sample(classes: DataFrame, total: int) -> pa.Table:
     return sample
 
 
-def _linked(classes: DataFrame, threshold: float, dim: int, block: int | None) -> DataFrame:
-    """(key, links, a, b) over the distinct vectors of one dimension (columns key, id, label, n, embedding)."""
-    block = block or max(PART, BLOCK_VALUES // dim)
+def _placed(classes: DataFrame, threshold: float) -> tuple[MultiIndex, int, DataFrame]:
+    """Of the distinct vectors of one dimension (key, id, label, n, embedding): index, number, and they with their places."""
     # A cell is shared out by label: what counts is how many vectors a vector has in its own label, on average.
     labels = classes.groupBy("label").count().agg(F.sum("count"), F.sum(F.col("count").cast("double") ** 2)).first()
     total, alike = labels[0], labels[1] / labels[0]
     sample = _sample(classes, total)
     size = int(np.clip(np.ceil(np.sqrt(alike / 64)), 4, 1024))
     index = MultiIndex(_matrix(sample["embedding"].combine_chunks()), size, threshold)
-    # Visits are keys; a vector travels once to them and from there to its blocks.
-    entries = classes.mapInArrow(_entries(index), "key bigint, label string, visitor boolean, cell bigint")
-    entries = store(entries, "cells")
+    place = StructField("places", ArrayType(StructType.fromDDL("visitor boolean, strip int, cells array<int>")))
+    return index, total, store(classes.mapInArrow(_places(index), StructType([*classes.schema, place])), "placed")
+
+
+def _linked(index: MultiIndex, total: int, placed: DataFrame, threshold: float, block: int) -> list[DataFrame]:
+    """(key, links, a, b) over the distinct vectors of one dimension."""
+    at = placed.select("key", "label", "id", "n", "embedding", F.explode("places").alias("place"))
+    at = at.select("key", "label", "id", "n", "embedding", "place.*")
     v = F.col("visitor").cast("int")
-    sizes = entries.groupBy("label", "cell").agg(F.sum(1 - v).alias("homes"), F.sum(v).alias("visitors"))
-    # A cell with one vector is visited by that vector only.
+    sizes = at.groupBy("label", "strip").agg(F.sum(1 - v).alias("homes"), F.sum(v).alias("visitors"))
+    # A strip with one vector is visited by that vector only.
     sizes = sizes.where("homes > 0 and homes + visitors > 2").select(
-        "label", "cell",
+        "label", "strip", "homes", "visitors",
         F.ceil(F.col("homes") / block).cast("int").alias("hb"),
         F.ceil(F.col("visitors") / block).cast("int").alias("vb"),
     )
-    rows = entries.join(sizes, ["label", "cell"])
+    sizes = store(sizes, "sizes")
+    sent = sizes.agg(F.sum(F.col("homes") * F.col("vb") + F.col("visitors") * F.col("hb"))).first()[0] or 0
+    # Strips are taken in rounds that send about two copies of each vector, so disk holds no more at a time.
+    rounds = max(1, ceil(sent / (2 * total)))
+    key = ["label", "strip", "home_block", "visit_block"]
     own = F.pmod(F.xxhash64("key"), F.when(F.col("visitor"), F.col("vb")).otherwise(F.col("hb"))).cast("int")
     across = F.sequence(F.lit(0), F.when(F.col("visitor"), F.col("hb")).otherwise(F.col("vb")) - 1)
-    rows = rows.withColumn("own", own).withColumn("across", F.explode(across))
-    rows = rows.select(
-        "key", "label", "visitor", "cell",
-        F.when(F.col("visitor"), F.col("across")).otherwise(F.col("own")).alias("home_block"),
-        F.when(F.col("visitor"), F.col("own")).otherwise(F.col("across")).alias("visit_block"),
-    )
-    key = ["label", "cell", "home_block", "visit_block"]
-    rows = rows.join(classes.select("key", "id", "n", "embedding"), "key")
-    rows = rows.repartition(*key).sortWithinPartitions(*key)
-    found = store(rows.mapInArrow(_verify(index, threshold), "key bigint, links bigint, a bigint, b bigint"), "links")
-    discard(entries)
+    found = []
+    for now in range(rounds):
+        mine = F.pmod(F.xxhash64("label", "strip"), F.lit(rounds)) == now
+        rows = at.where(mine).join(sizes.where(mine), ["label", "strip"])
+        rows = rows.withColumn("own", own).withColumn("across", F.explode(across))
+        rows = rows.select(
+            "key", "label", "visitor", "strip", "cells", "id", "n", "embedding",
+            F.when(F.col("visitor"), F.col("across")).otherwise(F.col("own")).alias("home_block"),
+            F.when(F.col("visitor"), F.col("own")).otherwise(F.col("across")).alias("visit_block"),
+        )
+        rows = rows.repartition(*key).sortWithinPartitions(*key)
+        found.append(store(rows.mapInArrow(_verify(index, threshold), "key bigint, links bigint, a bigint, b bigint"), "links"))
+    discard(sizes)
     return found
 
 
@@ -350,12 +375,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int | None
     classes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
     # Numbered where they are written: the stored number names a distinct vector from here on.
     classes = store(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
-    found = None
-    for (dim,) in classes.select(F.size("embedding")).distinct().collect():  # few: one per embedding model
-        part = _linked(classes.where(F.size("embedding") == dim), threshold, dim, block)
-        found = part if found is None else found.union(part)
-    if found is None:
+    dims = [dim for (dim,) in classes.select(F.size("embedding")).distinct().collect()]  # few: one per embedding model
+    parts = [_placed(classes.where(F.size("embedding") == dim), threshold) for dim in dims]
+    if not parts:
         found = classes.select("key", F.col("n").alias("links"), F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    else:
+        discard(classes)
+        classes = reduce(DataFrame.union, [placed.drop("places") for *_, placed in parts])
+        found = reduce(DataFrame.union, chain.from_iterable(
+            _linked(*part, threshold, block or max(PART, BLOCK_VALUES // dim)) for dim, part in zip(dims, parts, strict=True)
+        ))
     hashed = F.xxhash64("label", "embedding")
     counts = found.where("a is null").groupBy(F.col("key").alias("_c")).agg(F.sum("links").alias("links"))
     parts = components(found.where("a is not null").select("a", "b"))

@@ -132,6 +132,7 @@ def near_block(n):
     order = np.arange(n)
     rows = pa.table({
         "key": np.tile(order, 2), "label": ["a"] * (2 * n), "visitor": np.repeat([False, True], n), "cell": np.zeros(2 * n, np.int64),
+        "strip": np.zeros(2 * n, np.int32), "cells": pa.array([[0]] * (2 * n), pa.list_(pa.int32())),
         "home_block": np.zeros(2 * n, np.int32), "visit_block": np.zeros(2 * n, np.int32), "id": np.tile(order * 2, 2), "n": np.tile(order % 3 + 1, 2),
         "embedding": pa.array([*x.tolist()] * 2),
     })
