@@ -10,12 +10,13 @@ cell's.  The limit is calibrated on the sample: vectors turned in a random direc
 threshold, the hardest links there are, must fall within it with the target probability.  A pair
 counts when either of its vectors visits the other, so what is missed is about the square of that.
 
-Equal vectors are collapsed first by an aggregate with map-side combine.  A cell's homes and
-visitors are cut into blocks, and every block pair is some task's work, so a hot cell is spread
-over many tasks and none holds it whole.  A task multiplies at most PART by PART vectors at once
-and keeps their links as one boolean matrix: what it holds does not grow with the links, however
-near all vectors of a cell are.  A block yields per-vector counts and a forest that connects its
-links, never its pairs.
+Equal vectors are collapsed first by an aggregate with map-side combine.  A vector is sent once to
+each strip it visits, that is, to all cells of one codeword of the first half.  A strip's homes and
+visitors are cut into blocks, and every block pair is some task's work, so a hot strip is spread
+over many tasks and none holds it whole.  A task multiplies at most PART by PART vectors of a cell
+at once and keeps their links as one boolean matrix: what it holds does not grow with the links,
+however near all vectors of a cell are.  A block yields per-vector counts and a forest that
+connects its links, never its pairs.
 """
 
 from __future__ import annotations

@@ -205,3 +205,16 @@ def test_sample_is_what_sorting_all_gives(spark, monkeypatch):
         if classes.select("id").distinct().count() > 200:
             assert got == [r.v for r in want]
         assert len(got) == len(want)
+
+
+def test_a_vector_goes_once_to_each_strip_it_visits():
+    index, x, rows = near_block(30)
+    x = np.concatenate([x, unit(np.random.default_rng(6).normal(size=(50, 64)))])
+    batch = pa.record_batch({"key": np.arange(80), "embedding": pa.array(x.tolist())})
+    (placed,) = vectors._places(index)(iter([batch]))
+    across = len(index.books[1])
+    for row, cells, home in zip(placed.to_pylist(), index.visits(x), index.home(x), strict=True):
+        first, *rest = row["places"]
+        assert first == {"visitor": False, "strip": home // across, "cells": [home]}
+        assert all(p["visitor"] and {c // across for c in p["cells"]} == {p["strip"]} for p in rest)
+        assert len({p["strip"] for p in rest}) == len(rest) and sorted(c for p in rest for c in p["cells"]) == sorted(cells)
