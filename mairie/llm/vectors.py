@@ -388,13 +388,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, block: int | None
         ))
     hashed = F.xxhash64("label", "embedding")
     counts = found.where("a is null").groupBy(F.col("key").alias("_c")).agg(F.sum("links").alias("links"))
-    parts = components(found.where("a is not null").select("a", "b"))
-    classes = classes.join(counts, F.col("key") == F.col("_c"), "left").join(parts, F.col("id") == F.col("node"), "left")
-    classes = classes.select(
-        F.col("label").alias("_label"), F.col("embedding").alias("_vector"), hashed.alias("_hash"),
-        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"),
-        F.coalesce("component", "id").alias("_component"),
+    nodes = components(found.where("a is not null").select("a", "b"))
+    # Vectors move once to what is known of them, and are stored with it before they meet the rows.
+    known = classes.select(F.col("key").alias("_k"), "id", "n")
+    known = known.join(counts, F.col("_k") == F.col("_c"), "left").join(nodes, F.col("id") == F.col("node"), "left")
+    known = known.select(
+        "_k", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"), F.coalesce("component", "id").alias("_component")
     )
+    named = classes.select("key", F.col("label").alias("_label"), F.col("embedding").alias("_vector"), hashed.alias("_hash"))
+    classes = store(named.join(known, F.col("key") == F.col("_k")).drop("key", "_k"), "named")
+    discard(*(placed for *_, placed in parts))
     # Sorted by one number first; vectors are compared where it is equal.
     same = F.col("_good") & (hashed == F.col("_hash")) & (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_vector"))
     joined = rows.join(classes, same, "left")
